@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, secrets
+from . import mixing, packing, secrets, token_store
 
-QUERIES = {"op1_mix_sources": mixing.op1, "op2_secret_scan": secrets.op2}
+QUERIES = {
+    "op1_mix_sources": mixing.op1,
+    "op2_secret_scan": secrets.op2,
+    "op4_token_store": token_store.op4,
+    "op8_best_fit_packing": packing.op8,
+}
 ORACLES = {"op1_mix_sources": mixing.ORACLE_OP1, "op2_secret_scan": secrets.ORACLE_OP2}

@@ -138,3 +138,31 @@ def binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """Runs of a fixed-width array as one binary column; ``bounds`` counts elements."""
     offs = pa.py_buffer((bounds * values.dtype.itemsize).astype(np.int64))
     return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, offs, pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
+
+
+_CRC_POLY = 0xEDB88320
+
+
+def _crc_mul(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of polynomials over GF(2) modulo the CRC-32 polynomial, bits reversed as in the checksum."""
+    a, b = a.astype(np.uint64), b.astype(np.uint64)
+    out = np.zeros(np.broadcast(a, b).shape, np.uint64)
+    one = np.uint64(1)
+    for i in range(31, -1, -1):
+        out ^= np.where(a >> np.uint64(i) & one, b, np.uint64(0))
+        b = np.where(b & one, b >> one ^ np.uint64(_CRC_POLY), b >> one)
+    return out
+
+
+def crc_shift(crc: np.ndarray, zeros: np.ndarray) -> np.ndarray:
+    """What each checksum contributes to that of a longer text in which so many bytes follow; contributions XOR together."""
+    power = np.array([1 << 23], np.uint64)  # x to the 8th
+    factor = np.full(len(crc), 1 << 31, np.uint64)
+    left = zeros.astype(np.int64)
+    while left.any():
+        odd = (left & 1).astype(bool)
+        if odd.any():
+            factor[odd] = _crc_mul(factor[odd], power)
+        power = _crc_mul(power, power)
+        left = left >> 1
+    return _crc_mul(factor, crc.astype(np.uint64))
