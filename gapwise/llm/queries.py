@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langid, mixing, packing, quality, secrets, token_store, toxicity
+from . import langid, mixing, neighbours, packing, quality, secrets, token_store, toxicity
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_token_store": token_store.op4,
     "op5_toxicity": toxicity.op5,
     "op8_best_fit_packing": packing.op8,
+    "op9_nearest_neighbours": neighbours.op9,
     "op10_quality": quality.op10,
 }
 ORACLES = {"op1_mix_sources": mixing.ORACLE_OP1, "op2_secret_scan": secrets.ORACLE_OP2}
