@@ -54,3 +54,12 @@ def running_total(df: DataFrame, order: list, value: str, total: str) -> DataFra
     before = sums.select("__part", F.coalesce(F.sum("__sum").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     inner = F.coalesce(F.sum(value).over(Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return ranged.join(F.broadcast(before), "__part").withColumn(total, (F.col("__before") + inner).cast("long")).drop("__part", "__before")
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes intermediate tables that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        for path in {f.rpartition("/")[0] for f in df.inputFiles()[:1]}:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -112,7 +112,8 @@ class Index:
         """For each query and part, the inner product with every codeword."""
         out = np.zeros((len(q), len(self.parts), CODES), np.float32)
         for j, ((a, b), book) in enumerate(zip(self.parts, self.books, strict=True)):
-            out[:, j, : len(book)] = q[:, a:b] @ book.T
+            for d in range(b - a):  # no matrix product: equal codes must score equally in every block, to the last bit
+                out[:, j, : len(book)] += q[:, a + d, None] * book[None, :, d]
         return out
 
 
@@ -178,7 +179,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, deep: int = DEEP) -
             q, floor = matrix(asks.column("q")), asks.column("floor").to_numpy()
             for i in range(0, len(q), 256):
                 tables = ix.tables(q[i : i + 256])
-                score = np.repeat((q[i : i + 256] @ base)[:, None], len(ids), axis=1)
+                score = np.repeat((q[i : i + 256] * base).sum(1)[:, None], len(ids), axis=1)
                 for j in range(code.shape[1]):
                     score += tables[:, j, :][:, code[:, j]]
                 score[qids[i : i + 256, None] == ids[None, :]] = -np.inf
