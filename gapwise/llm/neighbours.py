@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import stored, table
 
-SAMPLE, SUB, CODES, BLOCK, DEEP, SEED, TARGET = 20_000, 4, 256, 2048, 200, 3, 0.98
+SAMPLE, SUB, CODES, BLOCK, DEEP, SEED, TARGET = 20_000, 2, 256, 2048, 150, 3, 0.98
 
 
 def usable(rows: DataFrame) -> DataFrame:
