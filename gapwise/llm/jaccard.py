@@ -332,9 +332,17 @@ def op7(spark, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component stays, the one with the least doc_id; empty documents all stay."""
+    """One document of each component stays, the one with the least doc_id; documents without words all stay.
+
+    Rows with a null or repeated doc_id cannot be told apart by it: of those, equal (doc_id, text) rows become one.
+    """
     cols = docs.columns
-    kept = Join(docs, width, percent).result().where("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct()
-    gone = stored(kept, "jaccard-gone")
-    rest = docs.join(bounded(gone, gone.count()), "doc_id", "left_anti").select(*cols)
-    return rest
+    join = Join(docs, width, percent)
+    gone = stored(join.result().where("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct(), "jaccard-gone")
+    kept = docs.join(bounded(gone, gone.count()), "doc_id", "left_anti").select(*cols)
+    again = stored(join.rows.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").select(F.col("doc_id").alias("__id")), "jaccard-again")
+    if not again.head(1):
+        return kept
+    again = bounded(again, again.count())
+    plain = kept.join(again, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    return plain.unionByName(kept.join(again, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import bounded, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 _DIGIT = 3  # hexadecimal digits of the hash by radix step
@@ -78,8 +78,8 @@ def mix(docs: DataFrame, weights=cyclic_weights, max_epochs: float = 3.0, share:
     two = crossing(two.groupBy("source", "__src", "__c1", "__left", d2.alias("__d2")).agg(F.sum("size").alias("__s")), "__d2")
     cut = stored(two.select("__src", "__c1", F.col("__d2").alias("__c2"), (F.col("__left") - F.col("__before")).alias("__cell_left")), "mix-cut2")
 
-    full = plan.withColumnRenamed("source", "__p").join(cut, F.col("__p").eqNullSafe(F.col("__src")), "left").drop("__src")
-    out = rows.join(full, F.col("source").eqNullSafe(F.col("__p"))).drop("__p")
+    full = stored(plan.withColumnRenamed("source", "__p").join(cut, F.col("__p").eqNullSafe(F.col("__src")), "left").drop("__src"), "mix-cuts")
+    out = rows.join(bounded(full, full.count(), 100_000), F.col("source").eqNullSafe(F.col("__p"))).drop("__p")
     place = F.concat(F.coalesce("__c1", F.lit("")), F.coalesce("__c2", F.lit("")))
     out = out.withColumn("__cmp", F.when(F.col("__c1").isNull(), 1).when(F.substring("__h", 1, 2 * _DIGIT) < place, -1).when(F.substring("__h", 1, 2 * _DIGIT) > place, 1).otherwise(0))
     sure = out.where("__cmp <> 0").withColumn("__extra", F.when(F.col("__cmp") < 0, F.col("size")).otherwise(F.lit(0)))
