@@ -10,8 +10,8 @@ their first shingles in any fixed order (prefix filter), so each prefix shingle
 lost.  The order puts shingles that a sample finds frequent last, which keeps license lines and common passages
 out of prefixes; the result does not depend on it.
 
-Work stays linear in groups of copies: equal sets collapse into one class first; every class is then
-verified against its block's first member, and linked classes merge; only pairs of a block that are still in different
+Work stays linear in groups of copies: equal sets collapse into one class first; in each of ``ROUNDS`` rounds every class is
+verified against one center of its blocks, and linked classes merge; only pairs of a block that are still in different
 components enter the tree, in tiles of at most ``TILE`` classes a side.  Components come from star contraction.
 
 Edge cases: null texts and texts without words have an empty set, link with nothing and are their own
@@ -33,7 +33,7 @@ from .common import bounded, discard, stored, table
 from .components import components
 from .textnp import binaries, mix64, slices
 
-TILE, LEAF, FREQUENT, SAMPLE_SHARE = 4096, 32, 100_000, 32
+TILE, LEAF, FREQUENT, SAMPLE_SHARE, ROUNDS, FINE = 4096, 32, 100_000, 32, 4, 32
 _WEIGHTS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(16)], np.uint64)
 
 
@@ -114,14 +114,16 @@ def _sketch(width: int, percent: int, frequent: np.ndarray):
                 nth = np.arange(len(h)) - np.repeat(bounds[:-1], size)
                 keys = h[turn][nth < prefix[doc]].view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)), pa.array(keys))
-                ids, points = [], []
+                ids, points, fine = [], [], []
                 for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
                     ids.append(_digest(h[a:b]) if b > a else None)
                     g = groups_for(b - a)
                     points.append(np.bincount((h[a:b] & np.uint64(g - 1)).astype(np.int64), minlength=g))
+                    odd = np.bincount((h[a:b] >> np.uint64(24) & np.uint64(FINE * g - 1)).astype(np.int64), minlength=FINE * g) & 1
+                    fine.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
                 at = np.concatenate([[0], np.cumsum([len(p) for p in points])])
                 flat = np.minimum(np.concatenate(points), 65535).astype(np.uint16)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, len(s)), pa.array(size.astype(np.int64)), pa.array(ids, pa.int64()), binaries(flat, at), lists], names=["doc_id", "n", "cid", "point", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, len(s)), pa.array(size.astype(np.int64)), pa.array(ids, pa.int64()), binaries(flat, at), pa.array(fine, pa.binary()), lists], names=["doc_id", "n", "cid", "point", "fine", "keys"])
 
     return run
 
@@ -133,6 +135,13 @@ def _fold(points: np.ndarray, g: int) -> np.ndarray:
     return points
 
 
+def _fold_bits(bits: np.ndarray, words: int) -> np.ndarray:
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
 class _Node:
     __slots__ = ("at", "top", "least", "most", "comp", "kids")
 
@@ -147,8 +156,11 @@ class _Node:
             self.kids = (_Node(order[:half], points, sizes, comps), _Node(order[half:], points, sizes, comps))
 
 
-def tree_join(points_a, sizes_a, comps_a, points_b, sizes_b, comps_b, percent: int, same: bool):
-    """Index pairs whose overlap bound reaches the threshold and whose components differ, by descending both trees."""
+def tree_join(points_a, sizes_a, comps_a, fine_a, points_b, sizes_b, comps_b, fine_b, percent: int, same: bool):
+    """Index pairs whose overlap bound reaches the threshold and whose components differ, by descending both trees.
+
+    At the leaves a second bound follows: groups so fine that their counts' parities alone tell most differences.
+    """
     if not len(sizes_a) or not len(sizes_b):
         return
     left = _Node(np.arange(len(sizes_a)), points_a, sizes_a, comps_a)
@@ -176,8 +188,13 @@ def tree_join(points_a, sizes_a, comps_a, points_b, sizes_b, comps_b, percent: i
             ok = ((100 + percent) * most >= percent * total) & (comps_a[a.at][:, None] != comps_b[b.at][None, :])
             if a is b:
                 ok &= a.at[:, None] < b.at[None, :]
-            for i, j in zip(*np.nonzero(ok), strict=True):
-                yield int(a.at[i]), int(b.at[j])
+            i, j = np.nonzero(ok)
+            i, j = a.at[i], b.at[j]
+            if len(i):
+                total = sizes_a[i] + sizes_b[j]
+                apart = np.bitwise_count(fine_a[i] ^ fine_b[j]).sum(1, dtype=np.int64)
+                sure = (100 + percent) * ((total - apart) // 2) >= percent * total
+                yield from zip(i[sure].tolist(), j[sure].tolist(), strict=True)
 
 
 def _blocks(percent: int):
@@ -192,19 +209,20 @@ def _blocks(percent: int):
         for i, p in enumerate(t["point"]):
             by.setdefault(len(p) // 2, []).append(i)
         mats = {g: np.frombuffer(b"".join(t["point"][i] for i in at), np.uint16).reshape(len(at), g).astype(np.int32) for g, at in by.items()}
+        fines = {g: np.frombuffer(b"".join(t["fine"][i] for i in at), np.uint64).reshape(len(at), -1) for g, at in by.items()}
         two = t["i"] != t["j"]
         for g, at in by.items():
             for g2 in (g, 2 * g):
                 if g2 not in by:
                     continue
                 a, b = np.array(at), np.array(by[g2])
-                pa_, pb = mats[g], _fold(mats[g2], g)
+                pa_, pb, fa, fb = mats[g], _fold(mats[g2], g), fines[g], _fold_bits(fines[g2], fines[g].shape[1])
                 if two:
                     sides = [(tile[a] == t["i"], tile[b] == t["j"])] + ([(tile[a] == t["j"], tile[b] == t["i"])] if g2 != g else [])
                 else:
                     sides = [(np.ones(len(a), bool), np.ones(len(b), bool))]
                 for x, y in sides:
-                    for i, j in tree_join(pa_[x], size[a[x]], comp[a[x]], pb[y], size[b[y]], comp[b[y]], percent, g2 == g and not two):
+                    for i, j in tree_join(pa_[x], size[a[x]], comp[a[x]], fa[x], pb[y], size[b[y]], comp[b[y]], fb[y], percent, g2 == g and not two):
                         pairs.append((cid[a[x][i]], cid[b[y][j]]))
         return pairs
 
@@ -226,11 +244,11 @@ def _blocks(percent: int):
 
     def emit(whole: pa.Table, cuts: np.ndarray):
         cols = {c: whole.column(c).to_numpy() for c in ("cid", "n", "comp", "tile", "i", "j")}
-        points = whole.column("point").to_pylist()
+        points, fine = whole.column("point").to_pylist(), whole.column("fine").to_pylist()
         bounds = [0, *cuts.tolist(), whole.num_rows]
         out: set[tuple[int, int]] = set()
         for a, b in zip(bounds, bounds[1:], strict=False):
-            t = {c: v[a:b] for c, v in cols.items() if c not in "ij"} | {"i": cols["i"][a], "j": cols["j"][a], "point": points[a:b]}
+            t = {c: v[a:b] for c, v in cols.items() if c not in "ij"} | {"i": cols["i"][a], "j": cols["j"][a], "point": points[a:b], "fine": fine[a:b]}
             out.update((min(p), max(p)) for p in block(t))
         rows = np.array(sorted(out), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["a", "b"])
@@ -244,10 +262,12 @@ def _bounded_pairs(percent: int):
             c = dict(zip(batch.schema.names, batch.columns, strict=True))
             total = c["na"].to_numpy() + c["nb"].to_numpy()
             most = []
-            for x, y in zip(c["pa"].to_pylist(), c["pb"].to_pylist(), strict=True):
+            for x, y, u, v, t in zip(c["pa"].to_pylist(), c["pb"].to_pylist(), c["fa"].to_pylist(), c["fb"].to_pylist(), total.tolist(), strict=True):
                 x, y = np.frombuffer(x, np.uint16).astype(np.int32)[None], np.frombuffer(y, np.uint16).astype(np.int32)[None]
-                g = min(x.shape[1], y.shape[1])
-                most.append(int(np.minimum(_fold(x, g), _fold(y, g)).sum()))
+                u, v = np.frombuffer(u, np.uint64)[None], np.frombuffer(v, np.uint64)[None]
+                g, w = min(x.shape[1], y.shape[1]), min(u.shape[1], v.shape[1])
+                apart = int(np.bitwise_count(_fold_bits(u, w) ^ _fold_bits(v, w)).sum())
+                most.append(min(int(np.minimum(_fold(x, g), _fold(y, g)).sum()), (t - apart) // 2))
             yield batch.select(["a", "b", "na", "nb"]).filter(pa.array((100 + percent) * np.array(most, np.int64) >= percent * total))
 
     return run
@@ -260,19 +280,43 @@ class Join:
         self.width, self.percent = width, percent
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         frequent = self._frequent()
-        fields = "doc_id long, n long, cid long, point binary, keys array<long>"
+        fields = "doc_id long, n long, cid long, point binary, fine binary, keys array<long>"
         self.rows = stored(self.docs.mapInArrow(_sketch(width, percent, frequent), fields), "jaccard-rows")
-        self.classes = stored(self.rows.where("cid IS NOT NULL").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")), "jaccard-classes")
-        blocks = self._blocked()
-        near = blocks.where((F.col("cid") != F.col("center")) & (100 * F.col("center_n") >= percent * F.col("n"))).select(F.col("center").alias("a"), F.col("cid").alias("b")).distinct()
-        links = self._verified(near)
-        first = stored(components(links), "jaccard-components")
-        more = self._verified(self._tree_pairs(blocks, first))
-        self.links = links.unionByName(more)
-        # Components of the first round are contracted: each new link joins two of them.
-        merged = components(self.links)
-        self.labels = stored(merged, "jaccard-labels")
-        discard(blocks, first)
+        self.classes = stored(self.rows.where("cid IS NOT NULL").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine")), "jaccard-classes")
+        blocks, labels = self._blocked(), None
+        self.links = None
+        for turn in range(ROUNDS):
+            pairs, blocks = self._star(blocks, labels, turn)
+            links = self._verified(pairs)
+            self.links = links if self.links is None else self.links.unionByName(links)
+            if labels is not None:
+                discard(labels)
+            labels = stored(components(self.links), "jaccard-components")
+            if not links.head(1):
+                break
+        self.links = self.links.unionByName(self._verified(self._tree_pairs(blocks, labels)))
+        self.labels = stored(components(self.links), "jaccard-labels")
+        discard(blocks, labels)
+
+    def _held(self, blocks: DataFrame, labels: DataFrame | None) -> DataFrame:
+        rows = blocks.select("key", "cid", "n")
+        if labels is None:
+            return rows.withColumn("comp", F.col("cid"))
+        return rows.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+
+    def _star(self, blocks: DataFrame, labels: DataFrame | None, turn: int) -> tuple[DataFrame, DataFrame]:
+        """One partner for each class: of its blocks' centers in other components, the one that it meets most often.
+
+        Every round draws another member of a block as its center.  Blocks within one component are left behind.
+        """
+        held = self._held(blocks, labels)
+        center = F.struct(F.xxhash64("cid", F.lit(turn)).alias("h"), F.col("cid").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
+        centers = held.groupBy("key").agg(F.min(center).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key", "m")
+        left = stored(held.join(centers, "key").select("key", "cid", "n", "comp", "m.a", "m.na", "m.ca"), "jaccard-blocks")
+        discard(blocks)
+        near = left.where((F.col("comp") != F.col("ca")) & (100 * F.least("n", "na") >= self.percent * F.greatest("n", "na")))
+        met = near.groupBy("cid", "a").agg(F.count("*").alias("c")).groupBy("cid").agg(F.max_by("a", F.struct("c", "a")).alias("a"))
+        return met.select("a", F.col("cid").alias("b")), left
 
     def _frequent(self) -> np.ndarray:
         """(hash, rank) of the shingles that most documents of a sample hold, most frequent last; a bounded list."""
@@ -283,18 +327,16 @@ class Join:
         return np.stack([h, np.arange(len(h))[::-1]], axis=1).astype(np.int64)
 
     def _blocked(self) -> DataFrame:
-        """(key, cid, n, center, center_n): the classes of every prefix shingle that two or more of them share."""
+        """(key, cid, n): the classes of every prefix shingle that two or more of them share."""
         parts = int(self.rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         keyed = self.rows.where("cid IS NOT NULL").select("cid", "n", F.explode("keys").alias("key")).repartition(parts, "key").dropDuplicates(["key", "cid"])
-        w = Window.partitionBy("key")
-        first = w.orderBy("n", "cid")
-        keyed = keyed.withColumn("c", F.count("*").over(w)).withColumn("center", F.first("cid").over(first)).withColumn("center_n", F.first("n").over(first))
-        return stored(keyed.where("c > 1").select("key", "cid", "n", "center", "center_n"), "jaccard-blocks")
+        keyed = keyed.withColumn("c", F.count("*").over(Window.partitionBy("key")))
+        return stored(keyed.where("c > 1").select("key", "cid", "n"), "jaccard-blocks")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes that reach the threshold: by points first, then by sets."""
         c = self.classes
-        seen = pairs.join(c.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa")), "a").join(c.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb")), "b")
+        seen = pairs.join(c.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"), F.col("fine").alias("fa")), "a").join(c.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"), F.col("fine").alias("fb")), "b")
         seen = stored(seen.mapInArrow(_bounded_pairs(self.percent), "a long, b long, na long, nb long"), "jaccard-pairs")
         some = seen.select(F.col("a").alias("cid")).union(seen.select(F.col("b").alias("cid"))).distinct()
         need = stored(c.join(some, "cid").select(F.col("rep").alias("doc_id"), "cid").where("doc_id IS NOT NULL"), "jaccard-needed")
@@ -309,12 +351,12 @@ class Join:
 
     def _tree_pairs(self, blocks: DataFrame, first: DataFrame) -> DataFrame:
         """Candidates of the blocks that still hold more than one component."""
-        held = blocks.select("key", "cid", "n").join(first.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        held = self._held(blocks, first)
         split = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c")).where("lo <> hi")
         tiles = F.ceil(F.col("c") / TILE).cast("int")
-        held = held.join(split.select("key", tiles.alias("tiles")), "key").join(self.classes.select("cid", "point"), "cid")
+        held = held.join(split.select("key", tiles.alias("tiles")), "key").join(self.classes.select("cid", "point", "fine"), "cid")
         held = held.withColumn("tile", F.pmod(F.xxhash64("cid"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        held = held.select("key", "cid", "n", "comp", "point", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
+        held = held.select("key", "cid", "n", "comp", "point", "fine", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
         parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ready = held.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
         return ready.mapInArrow(_blocks(self.percent), "a long, b long").distinct()
