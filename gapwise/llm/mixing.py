@@ -106,9 +106,9 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
 
 def _first_words(text: Column, n: Column) -> Column:
     """The text up to the end of its n-th word."""
-    gaps = F.split(text, WORD, -1)
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    return F.array_join(F.transform(F.slice(words, 1, n.cast("int")), lambda x, i: F.concat(F.element_at(gaps, i + 1), x)), "")
+    k = n.cast("int")
+    steps = F.arrays_zip(F.slice(F.split(text, WORD, -1), 1, k).alias("g"), F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, k).alias("w"))
+    return F.array_join(F.transform(steps, lambda x: F.concat(x["g"], x["w"])), "")
 
 
 ORACLE_OP1 = r"""
