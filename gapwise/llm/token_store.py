@@ -5,7 +5,7 @@ Layout under one folder, all Parquet:
 * ``chunks``   (digest, n, ids): each distinct chunk once; ids are little-endian, 16 bits wide where the
   vocabulary fits, else 32; the digest is the SHA-256 of those bytes.
 * ``recipes``  (doc_id, row, n_tokens, recipe, leaf, part): one row per document in ascending doc_id order
-  (null first); the recipe lists chunk digests and lengths in order; the leaf is the SHA-256 of the digests.
+  (null first); the recipe lists chunk digests, lengths and the ids that follow, in order; the leaf is the SHA-256 of the digests.
 * ``manifest`` (part, root, docs, tokens): a Merkle root over the leaves of each recipe file.
 
 A rolling hash over the last ``WINDOW`` ids cuts streams into chunks, so equal passages give equal chunks
@@ -33,7 +33,7 @@ from .common import new_path, table
 from .textnp import crc_shift, mix64
 
 WINDOW, MEAN, LEAST, MOST = 16, 512, 128, 4096
-_STAGE = "doc_id long, row long, pos int, n int, digest binary, ids binary"
+_STAGE = "doc_id long, row long, pos int, n int, after long, digest binary, ids binary"
 
 
 def with_end(flat: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +87,7 @@ def _stage(tokenizer_path: str, end_id: int, remembered: int = 100_000):
             for s, flat, bounds in tok.encode(batch.column(2)):
                 ids, at = with_end(flat, bounds, end_id)
                 raw, width = ids.tobytes(), ids.dtype.itemsize
-                doc, pos, size, digest, data = [], [], [], [], []
+                doc, pos, size, after, digest, data = [], [], [], [], [], []
                 for d, ends in enumerate(cut_points(ids, at)):
                     last = int(at[d])
                     for k, end in enumerate(ends):
@@ -96,6 +96,7 @@ def _stage(tokenizer_path: str, end_id: int, remembered: int = 100_000):
                         doc.append(s.first + d)
                         pos.append(k)
                         size.append(end - last)
+                        after.append(int(at[d + 1]) - end)
                         digest.append(key)
                         data.append(None if key in seen else piece)
                         seen[key] = None
@@ -103,7 +104,7 @@ def _stage(tokenizer_path: str, end_id: int, remembered: int = 100_000):
                             seen.popitem(last=False)
                         last = end
                 at_rows = pa.array(doc, pa.int64())
-                yield pa.RecordBatch.from_arrays([doc_ids.take(at_rows), rows.take(at_rows), pa.array(pos, pa.int32()), pa.array(size, pa.int32()), pa.array(digest, pa.binary()), pa.array(data, pa.binary())], names=["doc_id", "row", "pos", "n", "digest", "ids"])
+                yield pa.RecordBatch.from_arrays([doc_ids.take(at_rows), rows.take(at_rows), pa.array(pos, pa.int32()), pa.array(size, pa.int32()), pa.array(after, pa.int64()), pa.array(digest, pa.binary()), pa.array(data, pa.binary())], names=["doc_id", "row", "pos", "n", "after", "digest", "ids"])
 
     return run
 
@@ -114,8 +115,8 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0
     texts.mapInArrow(_stage(tokenizer_path, end_id), _STAGE).write.option("compression", "zstd").parquet(f"{path}/staging")
     staged = spark.read.schema(_STAGE).parquet(f"{path}/staging")
     staged.where("ids IS NOT NULL").groupBy("digest").agg(F.first("n").alias("n"), F.first("ids").alias("ids")).write.option("compression", "zstd").parquet(f"{path}/chunks")
-    recipes = staged.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("pos", "n", "digest"))).alias("recipe"), F.sum("n").cast("long").alias("n_tokens"))
-    recipes = recipes.withColumn("recipe", F.transform("recipe", lambda x: F.struct(x["digest"].alias("digest"), x["n"].alias("n"))))
+    recipes = staged.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("pos", "n", "after", "digest"))).alias("recipe"), F.sum("n").cast("long").alias("n_tokens"))
+    recipes = recipes.withColumn("recipe", F.transform("recipe", lambda x: F.struct(x["digest"].alias("digest"), x["n"].alias("n"), x["after"].alias("after"))))
     recipes = recipes.withColumn("leaf", F.sha2(F.array_join(F.transform("recipe", lambda x: F.hex(x["digest"])), "").cast("binary"), 256))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     recipes = recipes.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "row").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "row")
@@ -163,8 +164,7 @@ def read_store(spark: SparkSession, path: str, width: int) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every stored document, from the chunks' own bytes."""
     recipes, chunks = spark.read.parquet(f"{path}/recipes"), spark.read.parquet(f"{path}/chunks")
     summary = chunks.select("digest", "n", "ids").mapInArrow(_summaries(width), "digest binary, n int, crc long")
-    after = F.transform(F.col("recipe"), lambda x, i: F.struct(x["digest"].alias("digest"), (4 * F.aggregate(F.slice(F.col("recipe"), i + 2, F.size("recipe")), F.lit(0).cast("long"), lambda a, y: a + y["n"])).alias("after")))
-    parts = recipes.select("row", F.explode(after).alias("x")).select("row", "x.digest", "x.after")
+    parts = recipes.select("row", F.explode("recipe").alias("x")).select("row", "x.digest", (4 * F.col("x.after")).alias("after"))
     parts = parts.join(summary, "digest").select("row", "crc", "after", "n").mapInArrow(_shifted, "row long, crc long, n int")
     sums = parts.groupBy("row").agg(F.bit_xor("crc").alias("ids_crc32"), F.sum("n").alias("n_tokens"))
     starts = recipes.groupBy("part").agg(F.sum("n_tokens").alias("__s"))
