@@ -93,15 +93,15 @@ def mix(docs: DataFrame, weights=cyclic_weights, max_epochs: float = 3.0, share:
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: one row per repetition, in the columns of ``docs``; a fractional one keeps its first words."""
     cols = docs.columns
-    plan = mix(docs, keep=tuple(cols), **how)
+    whole = docs.select("doc_id", "text", "source", F.struct(*cols).alias("__doc"))  # a struct: no name of theirs clashes with one of ours
+    plan = mix(whole, keep=("__doc",), **how)
     reps = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(F.when(F.col("target") > 0, 1).otherwise(0)).cast("int")
     out = plan.where(reps > 0).withColumn("__rep", F.explode(F.sequence(F.lit(1), reps)))
     words = F.least(F.col("size"), F.col("taken") - (F.col("__rep") - 1) * F.col("size"))
-    cut = F.when(words < F.col("size"), _first_words(F.col("text"), words)).otherwise(F.col("text"))
-    out = out.withColumn("text", cut)
+    out = out.select("__doc", F.when(words < F.col("size"), _first_words(F.col("__doc.text"), words)).alias("__cut")).select("__doc.*", "__cut")
     if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*cols)
+        out = out.withColumn("n_chars", F.coalesce(F.length("__cut").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
+    return out.withColumn("text", F.coalesce("__cut", "text")).select(*cols)
 
 
 def _first_words(text: Column, n: Column) -> Column:

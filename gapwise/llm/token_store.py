@@ -52,7 +52,8 @@ def cut_points(ids: np.ndarray, bounds: np.ndarray) -> list[list[int]]:
     for k in range(WINDOW):  # Horner's rule over shifted copies: the same for the same last ids
         shift = WINDOW - 1 - k
         roll *= mult
-        roll[shift:] += h[: len(h) - shift] if shift else h
+        if shift < len(h):
+            roll[shift:] += h[: len(h) - shift]
     marks = np.flatnonzero(mix64(roll) & np.uint64(MEAN - 1) == 0) + 1
     first = np.searchsorted(marks, bounds, side="right")
     out = []
