@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 #: Explicit broadcasts happen only below this many rows of a few fixed-width columns; beyond it the same join shuffles.
 BROADCAST_ROWS = 2_000_000
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +30,12 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     """Writes an intermediate table to the shared folder and reads it back: lineage is cut, and lost executors lose nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")  # the table replaces the shuffle files that made it
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -33,7 +33,7 @@ from .common import bounded, discard, stored, table
 from .components import components
 from .textnp import binaries, mix64, slices
 
-TILE, LEAF, FREQUENT, SAMPLE_SHARE, ROUNDS, FINE = 4096, 32, 100_000, 32, 4, 32
+TILE, LEAF, FREQUENT, SAMPLE_SHARE, ROUNDS, FINE = 4096, 32, 100_000, 32, 2, 16
 _WEIGHTS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(16)], np.uint64)
 
 
@@ -330,8 +330,13 @@ class Join:
         """(key, cid, n): the classes of every prefix shingle that two or more of them share."""
         parts = int(self.rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         keyed = self.rows.where("cid IS NOT NULL").select("cid", "n", F.explode("keys").alias("key")).repartition(parts, "key").dropDuplicates(["key", "cid"])
-        keyed = keyed.withColumn("c", F.count("*").over(Window.partitionBy("key")))
-        return stored(keyed.where("c > 1").select("key", "cid", "n"), "jaccard-blocks")
+        keyed = stored(keyed.withColumn("c", F.count("*").over(Window.partitionBy("key"))).where("c > 1").select("key", "cid", "n"), "jaccard-shared")
+        # Blocks with the same members say the same: one of them stays, told by two hashes of the set.
+        sets = keyed.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("cid", F.lit(2))).alias("y"))
+        one = sets.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key")
+        blocks = stored(keyed.join(one, "key", "left_semi"), "jaccard-blocks")
+        discard(keyed)
+        return blocks
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes that reach the threshold: by points first, then by sets."""
