@@ -91,6 +91,7 @@ class Model:
                 total += np.diff(cum[at])
                 count += np.diff(many[at])
             z = self.bias + self.shift + total / (count + SHRINK)
+            z[count == 0] = self.shift + min(self.bias, -1.0)  # an empty bag is never above the threshold
             out[s.first : s.first + len(s)] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         return out
 
