@@ -23,6 +23,7 @@ from .textnp import _SEP, Slice, slices
 
 ORDERS, BITS, DIM = (3, 4, 5, 6), 18, 8
 PER_CLASS, MAX_CHARS, EPOCHS, RATE, SEED = 1500, 12_000, 8, 0.5, 11
+STEPS = 16_000
 THRESHOLD = 0.7
 #: So many n-grams of no meaning are added to every average: short bags stay near the prior.
 SHRINK = 60
@@ -116,8 +117,11 @@ def train(texts: pa.Array, y: list[int], epochs: int = EPOCHS, rate: float = RAT
     seen = np.full(1 << BITS, 1e-8, np.float32)
     y = np.array(y)
     held = np.arange(len(bags)) % 5 == 4  # placing the decision uses documents the weights never saw
-    for _ in range(epochs):
-        for i in rng.permutation(np.flatnonzero(~held)):
+    fitted = [np.flatnonzero(~held & (y == k)) for k in (0, 1)]
+    most = max(map(len, fitted))
+    for _ in range(max(epochs, min(60, STEPS // (2 * most)))):  # small samples need more passes
+        turn = np.concatenate([np.resize(rng.permutation(part), most) for part in fitted if len(part)])  # both classes equally often
+        for i in rng.permutation(turn):
             bucket, share = bags[i]
             if not len(bucket):
                 continue
@@ -141,13 +145,13 @@ def train(texts: pa.Array, y: list[int], epochs: int = EPOCHS, rate: float = RAT
 
 
 def _decision(low: np.ndarray, high: np.ndarray, clean: float = 3.0) -> tuple[float, float]:
-    """Where to cut, a clean document lost weighing ``clean`` times a toxic one kept, and the slope there."""
+    """Where to cut, towards the toxic side of the gap if there is one, a clean document lost weighing ``clean`` times a toxic one kept, and the slope there."""
     at = np.sort(np.concatenate([low, high]))
     at = (at[1:] + at[:-1]) / 2
     low, high = np.sort(low), np.sort(high)
     loss = clean * (1 - np.searchsorted(low, at) / len(low)) + np.searchsorted(high, at) / len(high)
     best = at[loss <= loss.min() + 1e-12]
-    return float((best[0] + best[-1]) / 2), 8.0 / max(float(np.median(high) - np.median(low)), 0.5)
+    return float(best[0] + 0.75 * (best[-1] - best[0])), 8.0 / max(float(np.median(high) - np.median(low)), 0.5)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Model:
