@@ -2,16 +2,17 @@
 
 ``fit`` trains coarse centroids and residual codebooks in numpy on a bounded, seeded sample (``SAMPLE`` vectors);
 every row is then indexed: its cell, and one byte per ``SUB`` components of its residual.  A query visits the
-cells with the largest inner products, scores their rows from a table of its own (cell part plus one lookup a
-byte), keeps the best ``DEEP`` by approximate score, and reranks those on the original vectors in double precision.
+cells with the largest inner products and scores their rows from a table of its own (cell part plus one lookup a
+byte).  Each row knows how far its code is from its vector, which bounds its true score from both sides.  Every row
+whose upper bound reaches the k-th best lower bound of its block is reranked there on the original vectors in double
+precision, so the result is exact among the rows of the visited cells, however close their codes are.
 
 How many cells a query visits is tuned on the sample: the fewest that hold ``TARGET`` of the sample's true
-neighbours.  A query's k-th best row of the sample also bounds its k-th best row of the table from below, so
-rows that score under that bound by more than four standard errors of the quantiser never leave their block.
+neighbours.  A query's k-th best row of the sample within these cells is also a lower bound.
 
 Scale: rows and queries meet by cell in blocks of at most ``BLOCK`` rows and ``BLOCK`` queries; a cell with more is
 split by hash on both sides, so one repeated vector that fills a third of the table is many equal blocks.  Only
-the best ``DEEP`` of a query leave a block at most.  The number of cells grows with the square root of the rows.
+a query's k best leave a block.  The number of cells grows with the square root of the rows.
 
 Edge cases: vectors that are null, zero, of another length than most, or hold null or non-finite components, and
 rows with a null vec_id, take no part; equal scores rank by smaller vec_id; a repeated vec_id counts once
@@ -27,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import discard, stored, table
 
-SAMPLE, SUB, CODES, BLOCK, DEEP, SEED, TARGET = 20_000, 2, 256, 2048, 150, 3, 0.98
+SAMPLE, SUB, CODES, BLOCK, SEED, TARGET = 20_000, 2, 256, 2048, 3, 0.98
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -69,6 +70,22 @@ def _nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.concatenate([np.argmax(x[i : i + 4096] @ c.T - half, axis=1) for i in range(0, len(x), 4096)] or [np.zeros(0, int)])
 
 
+def norms(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x.astype(np.float64) ** 2).sum(1))
+
+
+def rounding(d: int) -> float:
+    """Relative error of a sum of d products in single precision, at most."""
+    return (d + 8) * 1.2e-7
+
+
+def kth(score: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest of each row; minus infinity where there are fewer."""
+    if score.shape[1] < k:
+        return np.full(len(score), -np.inf)
+    return np.partition(score, score.shape[1] - k, axis=1)[:, -k].astype(np.float64)
+
+
 class Index:
     """Centroids and codebooks; small enough to ship with tasks."""
 
@@ -81,32 +98,30 @@ class Index:
         self.parts = [(a, min(a + SUB, d)) for a in range(0, d, SUB)]
         self.books = [kmeans(rest[:, a:b], CODES, rng, 8) for a, b in self.parts]
 
-        cell, code = self.encode(sample)
+        self.cell = cell = _nearest(sample, self.centroids)
         distinct = np.unique(sample, axis=0, return_index=True)[1]  # a vector that repeats is one query here
         probes = rng.choice(distinct, min(len(distinct), 400), replace=False)
         score = sample[probes] @ sample.T
-        guess = (sample[probes] @ self.centroids.T)[:, cell]
-        for j, table_ in enumerate(np.moveaxis(self.tables(sample[probes]), 1, 0)):
-            guess += table_[:, code[:, j]]
-        self.error = float((score - guess).std())
         score[np.arange(len(probes)), probes] = -np.inf
         best = np.argsort(-score, axis=1, kind="stable")[:, : min(k, len(sample) - 1)]
         place = np.argsort(np.argsort(-(sample[probes] @ self.centroids.T), axis=1, kind="stable"), axis=1)
         needed = np.take_along_axis(place, cell[best], 1) + 1
         self.visits = int(np.quantile(needed, TARGET)) if needed.size else 1
 
-    def floor(self, q: np.ndarray, qids: np.ndarray) -> np.ndarray:
-        """What the k-th best row must score at least by its code, for each query."""
-        if len(self.sample) <= self.k:
-            return np.full(len(q), -np.inf, np.float32)
+    def floor(self, q: np.ndarray, qids: np.ndarray, visited: np.ndarray) -> np.ndarray:
+        """A lower bound on each query's k-th best score in the cells that ``visited`` (queries by cells) marks."""
         score = q @ self.sample.T
-        score[qids[:, None] == self.ids[None, :]] = -np.inf
-        return np.partition(score, len(self.sample) - self.k, axis=1)[:, -self.k] - np.float32(4 * self.error)
+        score[(qids[:, None] == self.ids[None, :]) | ~visited[:, self.cell]] = -np.inf
+        return kth(score, self.k) - rounding(q.shape[1]) * norms(q) * norms(self.sample).max()
 
-    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cell, code, and a bound on how far the vector's scores are from the code's, for a query of length one."""
         cell = _nearest(x, self.centroids)
         rest = x - self.centroids[cell]
-        return cell, np.stack([_nearest(rest[:, a:b], book) for (a, b), book in zip(self.parts, self.books, strict=True)], axis=1).astype(np.uint8)
+        code = np.stack([_nearest(rest[:, a:b], book) for (a, b), book in zip(self.parts, self.books, strict=True)], axis=1).astype(np.uint8)
+        near = np.concatenate([book[code[:, j]] for j, book in enumerate(self.books)], axis=1)
+        base = self.centroids[cell]
+        return cell, code, norms(x.astype(np.float64) - base - near) + rounding(x.shape[1]) * (norms(base) + norms(near))
 
     def tables(self, q: np.ndarray) -> np.ndarray:
         """For each query and part, the inner product with every codeword."""
@@ -124,7 +139,7 @@ def fit(rows: DataFrame, n: int, k: int = 20) -> Index | None:
     return Index(matrix(sample.column(1)), sample.column(0).to_numpy(), max(1, min(4096, int(math.sqrt(n)))), k)
 
 
-def search(rows: DataFrame, queries: DataFrame, k: int = 20, deep: int = DEEP) -> DataFrame:
+def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """The k best rows of each query: query_id, rank, vec_id, score.  Both inputs are vec_id, embedding."""
     spark = rows.sparkSession
     rows = stored(usable(rows), "vectors")
@@ -138,10 +153,11 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, deep: int = DEEP) -
 
     def encode(batches):
         for batch in batches:
-            cell, code = shared.value.encode(matrix(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in code], pa.binary())], names=["vec_id", "cell", "code"])
+            cell, code, off = shared.value.encode(matrix(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(off), batch.column(1)], names=["vec_id", "cell", "code", "off", "v"])
 
-    codes = stored(rows.mapInArrow(encode, "vec_id long, cell int, code binary"), "codes")
+    codes = stored(rows.mapInArrow(encode, "vec_id long, cell int, code binary, off double, v array<float>"), "codes")
+    discard(rows)
     held = {r["cell"]: r["c"] for r in codes.groupBy("cell").agg(F.count("*").alias("c")).collect()}  # one row a cell
     counts = np.array([held.get(c, 0) for c in range(len(index.centroids))])
 
@@ -151,20 +167,22 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, deep: int = DEEP) -
             for a in range(0, whole.num_rows, 256):
                 batch = whole.slice(a, 256)
                 q = matrix(batch.column(1))
-                floor = ix.floor(q, batch.column(0).to_numpy())
                 order = np.argsort(-(q @ ix.centroids.T), axis=1, kind="stable")
                 enough = np.argmax(np.cumsum(counts[order], axis=1) >= min(4 * k, counts.sum()), axis=1) + 1
                 take = np.maximum(enough, ix.visits)
                 who = np.repeat(np.arange(len(q)), take)
                 cell = np.concatenate([row[:t] for row, t in zip(order, take, strict=True)])
+                visited = np.zeros((len(q), len(counts)), bool)
+                visited[who, cell] = True
+                floor = ix.floor(q, batch.column(0).to_numpy(), visited)
                 at = pa.array(who)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(cell.astype(np.int32)), pa.array(floor[who]), batch.column(1).take(at)], names=["query_id", "cell", "floor", "q"])
 
-    probes = stored(queries.mapInArrow(probe, "query_id long, cell int, floor float, q array<float>"), "probes")
+    probes = stored(queries.mapInArrow(probe, "query_id long, cell int, floor double, q array<float>"), "probes")
     asked = {r["cell"]: r["c"] for r in probes.groupBy("cell").agg(F.count("*").alias("c")).collect()}
     splits = spark.createDataFrame([(int(c), max(1, -(-int(counts[c]) // BLOCK)), max(1, -(-int(asked.get(c, 0)) // BLOCK))) for c in range(len(counts))], "cell int, rows_in int, queries_in int")
     splits = F.broadcast(splits)  # one row a cell, at most 4096
-    left = codes.join(splits, "cell").withColumn("a", F.pmod(F.xxhash64("vec_id"), "rows_in").cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("queries_in") - 1))).select("cell", "a", "b", "vec_id", "code")
+    left = codes.join(splits, "cell").withColumn("a", F.pmod(F.xxhash64("vec_id"), "rows_in").cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("queries_in") - 1))).select("cell", "a", "b", "vec_id", "code", "off", "v")
     right = probes.join(splits, "cell").withColumn("b", F.pmod(F.xxhash64("query_id"), "queries_in").cast("int")).withColumn("a", F.explode(F.sequence(F.lit(0), F.col("rows_in") - 1))).select("cell", "a", "b", "query_id", "floor", "q")
 
     def meet(rows_: pa.Table, asks: pa.Table) -> pa.Table:
@@ -172,36 +190,43 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, deep: int = DEEP) -
         got: list[list[np.ndarray]] = [[], [], []]
         if len(ids) and len(qids):
             ix = shared.value
-            order = np.argsort(ids, kind="stable")  # equal scores then stay in the order of vec_id
+            order = np.argsort(ids, kind="stable")
             ids = ids[order]
             code = np.frombuffer(b"".join(rows_.column("code").to_pylist()), np.uint8).reshape(len(ids), -1)[order]
+            off, x = rows_.column("off").to_numpy()[order], matrix(rows_.column("v"))[order].astype(np.float64)
             base = ix.centroids[rows_.column("cell")[0].as_py()]
             q, floor = matrix(asks.column("q")), asks.column("floor").to_numpy()
             for i in range(0, len(q), 256):
-                tables = ix.tables(q[i : i + 256])
-                score = np.repeat((q[i : i + 256] * base).sum(1)[:, None], len(ids), axis=1)
+                part, least = q[i : i + 256], floor[i : i + 256]
+                tables = ix.tables(part)
+                score = np.repeat((part * base).sum(1)[:, None], len(ids), axis=1)
                 for j in range(code.shape[1]):
                     score += tables[:, j, :][:, code[:, j]]
                 score[qids[i : i + 256, None] == ids[None, :]] = -np.inf
-                least = floor[i : i + 256]
-                if len(ids) > deep:
-                    least = np.maximum(least, np.partition(score, len(ids) - deep, axis=1)[:, -deep])
-                keep = (score > least[:, None]) & np.isfinite(score)
-                tie = (score == least[:, None]) & np.isfinite(score)
-                keep |= tie & (np.cumsum(tie, axis=1) <= deep - keep.sum(1, keepdims=True))
-                who, what = np.nonzero(keep)
-                for part, values in zip(got, (qids[i : i + 256][who], ids[what], score[keep]), strict=True):
-                    part.append(values)
+                width = norms(part)[:, None] * off[None, :]
+                keep = (score + width >= np.maximum(least, kth(score - width, k))[:, None]) & np.isfinite(score)
+                asking, some = np.flatnonzero(keep.any(1)), np.flatnonzero(keep.any(0))
+                if not len(some):
+                    continue
+                # Exact scores of all that remain; those near a query's k-th best are added up once more, always in the same order.
+                wide = part[asking].astype(np.float64)
+                exact = np.where(keep[np.ix_(asking, some)], wide @ x[some].T, -np.inf)
+                slack = 1e-14 * x.shape[1] * norms(wide) * norms(x[some]).max()
+                who, what = np.nonzero((exact >= (kth(exact, k) - slack)[:, None]) & np.isfinite(exact))
+                total = np.zeros(len(who))
+                for j in range(x.shape[1]):
+                    total += wide[who, j] * x[some[what], j]
+                who, what = qids[i : i + 256][asking[who]], ids[some[what]]
+                turn = np.lexsort((what, -total, who))
+                who, what, total = who[turn], what[turn], total[turn]
+                best = np.arange(len(who)) - np.searchsorted(who, who) < k
+                for one, values in zip(got, (who[best], what[best], total[best]), strict=True):
+                    one.append(values)
         flat = [np.concatenate(p) if p else np.zeros(0) for p in got]
-        return pa.table({"query_id": pa.array(flat[0].astype(np.int64)), "vec_id": pa.array(flat[1].astype(np.int64)), "near": pa.array(flat[2].astype(np.float32))})
+        return pa.table({"query_id": pa.array(flat[0].astype(np.int64)), "vec_id": pa.array(flat[1].astype(np.int64)), "score": pa.array(flat[2].astype(np.float64))})
 
     keys = ("cell", "a", "b")
-    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, near float")
-    w = Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id")
-    near = near.withColumn("r", F.row_number().over(w)).where(F.col("r") <= deep).select("query_id", "vec_id").distinct()
-    asks = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    exact = F.aggregate(F.zip_with("q", "embedding", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    scored = near.join(rows, "vec_id").join(asks, "query_id").select("query_id", "vec_id", exact.alias("score")).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -126,3 +126,20 @@ def test_neighbours_recall(spark, same):
         hits += len(set(best) & set(g.vec_id))
         assert len(g) == 20 and np.allclose(g.sort_values("rank").score, s[g.sort_values("rank").vec_id])
     assert hits / (20 * out.query_id.nunique()) >= 0.9
+
+
+@pytest.mark.parametrize("n", [1500, 6000])
+def test_neighbours_in_a_dense_group(spark, n):
+    """A third of the vectors nearly coincide, but all differ: exact scores must tell them apart at every size."""
+    rng = np.random.default_rng(7)
+    x, hot = rng.normal(size=(n, 64)), n // 3
+    x[:hot] = x[0] + 0.05 * rng.normal(size=(hot, 64))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    df = vectors(spark, [(i, v.tolist(), 1, 2.0) for i, v in enumerate(x)])
+    out = neighbours.search(df, df.where(f"vec_id % 20 = 0 AND vec_id < {hot}")).toPandas()
+    hits = 0
+    for q, g in out.groupby("query_id"):
+        s = x.astype(float) @ x[q].astype(float)
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s, kind="stable")[:20]) & set(g.vec_id))
+    assert hits / (20 * -(-hot // 20)) >= 0.98
