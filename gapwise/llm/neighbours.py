@@ -14,6 +14,9 @@ Scale: rows and queries meet by cell in blocks of at most ``BLOCK`` rows and ``B
 split by hash on both sides, so one repeated vector that fills a third of the table is many equal blocks.  Only
 a query's k best leave a block.  The number of cells grows with the square root of the rows.
 
+A vec_id with several vectors counts once wherever ranks are taken: bounds, blocks and the number of rows in reach go
+by distinct ids.  Equal rows become one first, and blocks are drawn by id and vector, so a frequent id is many blocks.
+
 Edge cases: vectors that are null, zero, of another length than most, or hold null or non-finite components, and
 rows with a null vec_id, take no part; equal scores rank by smaller vec_id; a repeated vec_id counts once
 with its best score; queries with fewer candidates return all; an empty table gives an empty result.
@@ -79,17 +82,30 @@ def rounding(d: int) -> float:
     return (d + 8) * 1.2e-7
 
 
-def kth(score: np.ndarray, k: int) -> np.ndarray:
-    """The k-th largest of each row; minus infinity where there are fewer."""
+def kth(score: np.ndarray, k: int, ids: np.ndarray) -> np.ndarray:
+    """The k-th largest of each row, by the best column of each of the sorted ``ids``; minus infinity where there are fewer."""
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    if len(first) < len(ids):
+        score = np.maximum.reduceat(score, first, axis=1)
     if score.shape[1] < k:
         return np.full(len(score), -np.inf)
     return np.partition(score, score.shape[1] - k, axis=1)[:, -k].astype(np.float64)
 
 
+def _again(marks: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which marked places come after another marked one of the same id; ``ids`` are sorted."""
+    at = np.flatnonzero(marks)
+    out = np.zeros(len(marks), bool)
+    out[at[1:][ids[at[1:]] == ids[at[:-1]]]] = True
+    return out
+
+
 class Index:
     """Centroids and codebooks; small enough to ship with tasks."""
 
     def __init__(self, sample: np.ndarray, ids: np.ndarray, cells: int, k: int = 20):
+        turn = np.argsort(ids, kind="stable")
+        sample, ids = sample[turn], ids[turn]
         self.sample, self.ids, self.k = sample, ids, k
         rng = np.random.default_rng(SEED)
         self.centroids = kmeans(sample, cells, rng)
@@ -102,8 +118,12 @@ class Index:
         distinct = np.unique(sample, axis=0, return_index=True)[1]  # a vector that repeats is one query here
         probes = rng.choice(distinct, min(len(distinct), 400), replace=False)
         score = sample[probes] @ sample.T
-        score[np.arange(len(probes)), probes] = -np.inf
-        best = np.argsort(-score, axis=1, kind="stable")[:, : min(k, len(sample) - 1)]
+        score[ids[probes][:, None] == ids[None, :]] = -np.inf
+        one = np.unique(ids, return_index=True)[1]
+        if len(one) < len(ids):  # of each id, its best vector
+            top = np.repeat(np.maximum.reduceat(score, one, axis=1), np.diff(np.append(one, len(ids))), axis=1)
+            score[(score < top) | np.stack([_again(row, ids) for row in score == top])] = -np.inf
+        best = np.argsort(-score, axis=1, kind="stable")[:, : min(k, len(one) - 1)]
         place = np.argsort(np.argsort(-(sample[probes] @ self.centroids.T), axis=1, kind="stable"), axis=1)
         needed = np.take_along_axis(place, cell[best], 1) + 1
         self.visits = int(np.quantile(needed, TARGET)) if needed.size else 1
@@ -112,7 +132,7 @@ class Index:
         """A lower bound on each query's k-th best score in the cells that ``visited`` (queries by cells) marks."""
         score = q @ self.sample.T
         score[(qids[:, None] == self.ids[None, :]) | ~visited[:, self.cell]] = -np.inf
-        return kth(score, self.k) - rounding(q.shape[1]) * norms(q) * norms(self.sample).max()
+        return kth(score, self.k, self.ids) - rounding(q.shape[1]) * norms(q) * norms(self.sample).max()
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Cell, code, and a bound on how far the vector's scores are from the code's, for a query of length one."""
@@ -133,7 +153,7 @@ class Index:
 
 
 def fit(rows: DataFrame, n: int, k: int = 20) -> Index | None:
-    sample = rows.orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id", "embedding").limit(SAMPLE).select("vec_id", "embedding").toArrow()
+    sample = rows.orderBy(F.xxhash64("vec_id", "embedding", F.lit(SEED)), "vec_id", "embedding").limit(SAMPLE).select("vec_id", "embedding").toArrow()
     if not sample.num_rows:
         return None
     return Index(matrix(sample.column(1)), sample.column(0).to_numpy(), max(1, min(4096, int(math.sqrt(n)))), k)
@@ -142,7 +162,7 @@ def fit(rows: DataFrame, n: int, k: int = 20) -> Index | None:
 def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """The k best rows of each query: query_id, rank, vec_id, score.  Both inputs are vec_id, embedding."""
     spark = rows.sparkSession
-    rows = stored(usable(rows), "vectors")
+    rows = stored(usable(rows).distinct(), "vectors")
     queries = stored(usable(queries).groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "queries")
     n = rows.count()
     index = fit(rows, n, k)
@@ -159,7 +179,9 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     codes = stored(rows.mapInArrow(encode, "vec_id long, cell int, code binary, off double, v array<float>"), "codes")
     discard(rows)
     held = {r["cell"]: r["c"] for r in codes.groupBy("cell").agg(F.count("*").alias("c")).collect()}  # one row a cell
+    reach = {r["cell"]: r["c"] for r in codes.groupBy("vec_id").agg(F.min("cell").alias("cell")).groupBy("cell").agg(F.count("*").alias("c")).collect()}
     counts = np.array([held.get(c, 0) for c in range(len(index.centroids))])
+    fresh = np.array([reach.get(c, 0) for c in range(len(index.centroids))])  # each id in one of its cells
 
     def probe(batches):
         ix = shared.value
@@ -168,7 +190,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                 batch = whole.slice(a, 256)
                 q = matrix(batch.column(1))
                 order = np.argsort(-(q @ ix.centroids.T), axis=1, kind="stable")
-                enough = np.argmax(np.cumsum(counts[order], axis=1) >= min(4 * k, counts.sum()), axis=1) + 1
+                enough = np.argmax(np.cumsum(fresh[order], axis=1) >= min(4 * k, fresh.sum()), axis=1) + 1
                 take = np.maximum(enough, ix.visits)
                 who = np.repeat(np.arange(len(q)), take)
                 cell = np.concatenate([row[:t] for row, t in zip(order, take, strict=True)])
@@ -182,7 +204,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     asked = {r["cell"]: r["c"] for r in probes.groupBy("cell").agg(F.count("*").alias("c")).collect()}
     splits = spark.createDataFrame([(int(c), max(1, -(-int(counts[c]) // BLOCK)), max(1, -(-int(asked.get(c, 0)) // BLOCK))) for c in range(len(counts))], "cell int, rows_in int, queries_in int")
     splits = F.broadcast(splits)  # one row a cell, at most 4096
-    left = codes.join(splits, "cell").withColumn("a", F.pmod(F.xxhash64("vec_id"), "rows_in").cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("queries_in") - 1))).select("cell", "a", "b", "vec_id", "code", "off", "v")
+    left = codes.join(splits, "cell").withColumn("a", F.pmod(F.xxhash64("vec_id", "v"), "rows_in").cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("queries_in") - 1))).select("cell", "a", "b", "vec_id", "code", "off", "v")
     right = probes.join(splits, "cell").withColumn("b", F.pmod(F.xxhash64("query_id"), "queries_in").cast("int")).withColumn("a", F.explode(F.sequence(F.lit(0), F.col("rows_in") - 1))).select("cell", "a", "b", "query_id", "floor", "q")
 
     def meet(rows_: pa.Table, asks: pa.Table) -> pa.Table:
@@ -204,7 +226,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                     score += tables[:, j, :][:, code[:, j]]
                 score[qids[i : i + 256, None] == ids[None, :]] = -np.inf
                 width = norms(part)[:, None] * off[None, :]
-                keep = (score + width >= np.maximum(least, kth(score - width, k))[:, None]) & np.isfinite(score)
+                keep = (score + width >= np.maximum(least, kth(score - width, k, ids))[:, None]) & np.isfinite(score)
                 asking, some = np.flatnonzero(keep.any(1)), np.flatnonzero(keep.any(0))
                 if not len(some):
                     continue
@@ -212,13 +234,16 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                 wide = part[asking].astype(np.float64)
                 exact = np.where(keep[np.ix_(asking, some)], wide @ x[some].T, -np.inf)
                 slack = 1e-14 * x.shape[1] * norms(wide) * norms(x[some]).max()
-                who, what = np.nonzero((exact >= (kth(exact, k) - slack)[:, None]) & np.isfinite(exact))
+                who, what = np.nonzero((exact >= np.maximum(kth(exact, k, ids[some]), least[asking])[:, None] - slack[:, None]) & np.isfinite(exact))
                 total = np.zeros(len(who))
                 for j in range(x.shape[1]):
                     total += wide[who, j] * x[some[what], j]
                 who, what = qids[i : i + 256][asking[who]], ids[some[what]]
                 turn = np.lexsort((what, -total, who))
                 who, what, total = who[turn], what[turn], total[turn]
+                first = np.unique(np.stack([who, what], axis=1), axis=0, return_index=True)[1]  # an id's best score
+                first.sort()
+                who, what, total = who[first], what[first], total[first]
                 best = np.arange(len(who)) - np.searchsorted(who, who) < k
                 for one, values in zip(got, (who[best], what[best], total[best]), strict=True):
                     one.append(values)

@@ -143,3 +143,25 @@ def test_neighbours_in_a_dense_group(spark, n):
         s[q] = -np.inf
         hits += len(set(np.argsort(-s, kind="stable")[:20]) & set(g.vec_id))
     assert hits / (20 * -(-hot // 20)) >= 0.98
+
+
+@pytest.mark.parametrize("equal", [True, False])
+def test_neighbours_of_a_repeated_id(spark, equal):
+    """One vec_id in a third of the rows, with one vector or with many, is one neighbour at most."""
+    rng = np.random.default_rng(11)
+    n, hot = 3000, 1000
+    x = rng.normal(size=(n, 16)).astype(np.float32)
+    x[:hot] = x[0] if equal else x[0] + 0.1 * rng.normal(size=(hot, 16))
+    ids = np.arange(n)
+    ids[:hot] = 7
+    x[:hot] *= 3  # near to half of the queries
+    df = vectors(spark, [(int(i), v.tolist(), 1, 2.0) for i, v in zip(ids, x, strict=True)])
+    out = neighbours.search(df, df.where("vec_id % 20 = 0")).toPandas()
+    hits = 0
+    assert out.query_id.nunique() == 100
+    for q, g in out.groupby("query_id"):
+        s = x.astype(float) @ x[q].astype(float)
+        score = {i: v for i, v in sorted(zip(ids.tolist(), s.tolist(), strict=True), key=lambda p: p[1]) if i != q}
+        hits += len(set(sorted(score, key=lambda i: -score[i])[:20]) & set(g.vec_id))
+        assert len(g) == 20 and g.vec_id.is_unique
+    assert hits / 2000 >= 0.9
