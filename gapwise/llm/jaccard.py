@@ -123,7 +123,7 @@ def _sketch(width: int, percent: int, frequent: np.ndarray):
                     fine.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
                 at = np.concatenate([[0], np.cumsum([len(p) for p in points])])
                 flat = np.minimum(np.concatenate(points), 65535).astype(np.uint16)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, len(s)), pa.array(size.astype(np.int64)), pa.array(ids, pa.int64()), binaries(flat, at), pa.array(fine, pa.binary()), lists], names=["doc_id", "n", "cid", "point", "fine", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, len(s)), pa.array(size.astype(np.int64)), pa.array(ids, pa.int64()), binaries(flat, at), pa.array(fine, pa.binary()), lists, batch.column(2).slice(s.first, len(s))], names=["doc_id", "n", "cid", "point", "fine", "keys", "text_key"])
 
     return run
 
@@ -273,16 +273,21 @@ def _bounded_pairs(percent: int):
     return run
 
 
+def _row(doc_id: str):
+    """Orders rows by doc_id, null last, then by text."""
+    return F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("doc_id"), "text_key")
+
+
 class Join:
     """The classes of a corpus, the links between them, and every row's component."""
 
     def __init__(self, docs: DataFrame, width: int, percent: int):
         self.width, self.percent = width, percent
-        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
         frequent = self._frequent()
-        fields = "doc_id long, n long, cid long, point binary, fine binary, keys array<long>"
+        fields = "doc_id long, n long, cid long, point binary, fine binary, keys array<long>, text_key long"
         self.rows = stored(self.docs.mapInArrow(_sketch(width, percent, frequent), fields), "jaccard-rows")
-        self.classes = stored(self.rows.where("cid IS NOT NULL").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine")), "jaccard-classes")
+        self.classes = stored(self.rows.where("cid IS NOT NULL").groupBy("cid").agg(F.min(_row("doc_id")).alias("m"), F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine")).select("cid", F.col("m.doc_id").alias("rep"), "m.text_key", "n", "point", "fine"), "jaccard-classes")
         blocks, labels = self._blocked(), None
         self.links = None
         for turn in range(ROUNDS):
@@ -344,8 +349,8 @@ class Join:
         seen = pairs.join(c.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"), F.col("fine").alias("fa")), "a").join(c.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"), F.col("fine").alias("fb")), "b")
         seen = stored(seen.mapInArrow(_bounded_pairs(self.percent), "a long, b long, na long, nb long"), "jaccard-pairs")
         some = seen.select(F.col("a").alias("cid")).union(seen.select(F.col("b").alias("cid"))).distinct()
-        need = stored(c.join(some, "cid").select(F.col("rep").alias("doc_id"), "cid").where("doc_id IS NOT NULL"), "jaccard-needed")
-        texts = self.docs.join(bounded(need.select("doc_id").distinct(), need.count()), "doc_id", "left_semi")
+        need = stored(c.join(some, "cid").select("rep", F.col("text_key").alias("rep_key"), "cid"), "jaccard-needed")
+        texts = self.docs.join(bounded(need.select("rep", "rep_key").distinct(), need.count()), (F.col("text_key") == F.col("rep_key")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
         sets = texts.mapInArrow(_sets(self.width), "doc_id long, cid long, set array<long>").join(need.select("cid"), "cid", "left_semi")
         sets = stored(sets.dropDuplicates(["cid"]).select("cid", "set"), "jaccard-sets")
         both = seen.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("cid").alias("b"), F.col("set").alias("sb")), "b")

@@ -165,3 +165,19 @@ def test_neighbours_of_a_repeated_id(spark, equal):
         hits += len(set(sorted(score, key=lambda i: -score[i])[:20]) & set(g.vec_id))
         assert len(g) == 20 and g.vec_id.is_unique
     assert hits / 2000 >= 0.9
+
+
+def null_ids(spark):
+    """Near copies without doc_id: one beside document 1, one that alone links documents 2 and 3."""
+    w = [f"w{i}" for i in range(200)]
+    v = [f"v{i}" for i in range(200)]
+    cut = lambda words, a, b: " ".join(words[a:b])
+    rows = [(1, cut(w, 0, 200)), (None, cut(w, 0, 196)), (2, cut(v, 0, 180)), (None, cut(v, 10, 190)), (3, cut(v, 20, 200))]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_join_of_rows_without_doc_id(spark):
+    docs = null_ids(spark)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.Join(docs, 4, 85).result().collect())
+    assert got == brute(docs.collect(), 4, 85)
+    assert {k[0]: k[2] for k in got}[3] == 2 and Counter(k[2] for k in got.elements()) == {1: 2, 2: 3}
