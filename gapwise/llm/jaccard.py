@@ -371,6 +371,13 @@ class Join:
         ready = held.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
         return ready.mapInArrow(_blocks(self.percent), "a long, b long").distinct()
 
+    def spare(self) -> DataFrame:
+        """(doc_id, text_key) of the rows with words that are not the first of their component; nulls come last."""
+        label = self.classes.join(self.labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        first = label.groupBy("comp").agg(F.min(_row("rep")).alias("m")).select("comp", F.col("m.doc_id").alias("first"), F.col("m.text_key").alias("first_key"))
+        rows = self.rows.join(label.select("cid", "comp").join(first, "comp"), "cid")
+        return rows.where(~(F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("text_key") == F.col("first_key")))).select("doc_id", "text_key").distinct()
+
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id for every row."""
         label = self.classes.select("cid", "rep").join(self.labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
@@ -384,17 +391,23 @@ def op7(spark, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component stays, the one with the least doc_id; documents without words all stay.
+    """One row of each component stays, the one with the least doc_id; documents without words all stay.
 
-    Rows with a null or repeated doc_id cannot be told apart by it: of those, equal (doc_id, text) rows become one.
+    Rows are told apart by doc_id and text, so a repeated doc_id loses only its rows that are copies, and a row with a
+    null doc_id gives way to any with one.  Equal (doc_id, text) rows become one.
     """
     cols = docs.columns
     join = Join(docs, width, percent)
-    gone = stored(join.result().where("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct(), "jaccard-gone")
-    kept = docs.join(bounded(gone, gone.count()), "doc_id", "left_anti").select(*cols)
-    again = stored(join.rows.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").select(F.col("doc_id").alias("__id")), "jaccard-again")
+    docs = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__key": F.xxhash64("text")})
+
+    def among(keys: DataFrame, how: str, of: DataFrame) -> DataFrame:
+        keys = bounded(keys, keys.count())
+        return of.join(keys, F.col("__doc").eqNullSafe(F.col("doc_id_")) & (F.col("__key") == F.col("key_")), how)
+
+    names = {"doc_id": "doc_id_", "text_key": "key_"}
+    kept = among(stored(join.spare().withColumnsRenamed(names), "jaccard-gone"), "left_anti", docs)
+    again = stored(join.rows.groupBy("doc_id", "text_key").count().where("count > 1").drop("count").withColumnsRenamed(names), "jaccard-again")
     if not again.head(1):
-        return kept
-    again = bounded(again, again.count())
-    plain = kept.join(again, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
-    return plain.unionByName(kept.join(again, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").dropDuplicates(["doc_id", "text"]))
+        return kept.select(*cols)
+    once = among(again, "left_semi", kept).dropDuplicates(["doc_id", "text"])
+    return among(again, "left_anti", kept).unionByName(once).select(*cols)

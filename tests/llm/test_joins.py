@@ -181,3 +181,13 @@ def test_join_of_rows_without_doc_id(spark):
     got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.Join(docs, 4, 85).result().collect())
     assert got == brute(docs.collect(), 4, 85)
     assert {k[0]: k[2] for k in got}[3] == 2 and Counter(k[2] for k in got.elements()) == {1: 2, 2: 3}
+
+
+def test_deduplicated_decides_by_row(spark):
+    """A repeated doc_id loses only its copied text; of near copies without doc_id at most one stays."""
+    text = lambda c, a, b: " ".join(f"{c}{i}" for i in range(a, b))
+    rows = [(1, text("w", 0, 200)), (2, text("w", 0, 196)), (2, text("u", 0, 50)), (None, text("w", 0, 198)), (None, text("n", 0, 200)), (None, text("n", 0, 197)), (1, text("w", 0, 199)), (3, text("z", 0, 9))]
+    out = jaccard.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = Counter(r.doc_id for r in out)
+    assert got == {1: 1, 2: 1, 3: 1, None: 1}
+    assert next(r.text for r in out if r.doc_id == 2).startswith("u0 ") and next(r.text for r in out if r.doc_id is None).startswith("n0 ")
