@@ -70,11 +70,12 @@ def _listed(spans: Column, kinds: tuple) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max_owners: int = 2) -> DataFrame:
+def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max_owners: int = 2, max_repositories: int | None = None) -> DataFrame:
     """docs(doc_id, text, owner, repository) -> doc_id, __key, base, live, n_shared.
 
     ``live`` holds the added spans: runs whose value stays with at most ``max_owners`` owners and that touch no
     base span.  ``n_shared`` counts a document's candidates that more owners hold.  ``__key`` is the text's hash.
+    With ``max_repositories``, values in more repositories count as widely copied too; the query's SQL judges by owners only.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.col(owner).cast("string").alias("__owner"), F.col(repository).cast("string").alias("__repo"), text.alias("__t"))
@@ -85,13 +86,18 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max
 
     cand = rows.where((F.size("base") > 0) | (F.size("__runs") > 0))
     held = cand.select("__owner", "__repo", F.explode(F.array_distinct(F.transform(F.concat("base", "__runs"), lambda x: F.sha2(x["value"], 256)))).alias("__h"))
-    by_owner = held.groupBy("__h", "__owner", "__repo").agg(F.lit(1).alias("__one")).groupBy("__h", "__owner").agg(F.count("*").alias("__repos"))
-    owners = by_owner.groupBy("__h").agg(F.count("*").alias("owners"), F.sum("__repos").alias("repositories"))
-
+    distinct = lambda c: held.select("__h", c).distinct().groupBy("__h")
+    owners = distinct("__owner").agg(F.count("*").alias("owners"))
+    if max_repositories is not None:
+        owners = owners.join(distinct("__repo").agg(F.count("*").alias("repositories")), "__h")
+
+    copied = F.col("owners") > max_owners
+    if max_repositories is not None:
+        copied |= F.col("repositories") > max_repositories
     each = cand.select("doc_id", "__key", F.explode(F.concat("base", "__runs")).alias("s")).distinct().withColumn("__h", F.sha2(F.col("s.value"), 256))
     judged = each.join(owners, "__h").groupBy("doc_id", "__key").agg(
-        F.sort_array(F.collect_list(F.when((F.col("s.kind") == len(KINDS)) & (F.col("owners") <= max_owners), F.col("s")))).alias("live"),
-        F.sum((F.col("owners") > max_owners).cast("long")).alias("n_shared"),
+        F.sort_array(F.collect_list(F.when((F.col("s.kind") == len(KINDS)) & ~copied, F.col("s")))).alias("live"),
+        F.sum(copied.cast("long")).alias("n_shared"),
     )
     judged = judged.withColumnsRenamed({"doc_id": "__id", "__key": "__k"})
     plain = rows.where((F.size("base") == 0) & (F.size("__runs") == 0))

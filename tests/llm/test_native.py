@@ -82,3 +82,11 @@ def test_empty_tables(spark, f):
 def test_digest_of_no_spans(spark):
     got = queries.QUERIES["op2_secret_scan"](spark, DATA).where("spans = ''").first()
     assert got.base_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_values_in_many_repositories_of_one_owner(spark):
+    value = "Qz9Qz9Qz9Qz9Qz9Qz9Qz"
+    docs = spark.createDataFrame([(i, f"see {value}", "s") for i in range(6)], "doc_id long, text string, source string")
+    assert all(not r.live and r.n_shared == 1 for r in secrets.scan(docs, max_repositories=5).collect())
+    assert all(r.live and r.n_shared == 0 for r in secrets.scan(docs, max_repositories=6).collect())
+    assert all(r.live and r.n_shared == 0 for r in secrets.scan(docs).collect())
