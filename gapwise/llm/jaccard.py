@@ -5,14 +5,19 @@ document's point.  The overlap of two sets is at most the sum of the lesser coun
 R-tree over points (each node knows its largest counts and least set size) rules out pairs without looking at sets;
 what survives is verified on the sets themselves.
 
-At cluster scale the tree is one per block.  Documents that can reach the threshold must share one of
-their first shingles in any fixed order (prefix filter), so each prefix shingle is a block and no link is
-lost.  The order puts shingles that a sample finds frequent last, which keeps license lines and common passages
-out of prefixes; the result does not depend on it.
-
-Work stays linear in groups of copies: equal sets collapse into one class first; in each of ``ROUNDS`` rounds every class is
-verified against one center of its blocks, and linked classes merge; only pairs of a block that are still in different
-components enter the tree, in tiles of at most ``TILE`` classes a side.  Components come from star contraction.
+At cluster scale there is one tree per block.  Documents that can reach the threshold must share one of
+their first shingles in any fixed order (prefix filter).  The classes that hold a prefix shingle have one center, the
+least of them by hash, and a block is all classes that share a prefix shingle with one center.  So no
+link is lost, and the many shingles that a group of copies shares make one block or a few.  The order puts shingles that a
+sample finds frequent last, which keeps license lines and common passages out of prefixes; the result does
+not depend on it.
+
+Work stays linear in groups of copies.  Equal sets collapse into one class first.  A first pass over the
+blocks reads points alone and keeps the classes that the tree cannot rule out, so only their texts are fetched; a second
+pass verifies inside the block with a union-find: pairs already linked are skipped, and only links that join
+two components leave it, fewer than the block has members.  A block beyond ``TILE`` classes or ``VOLUME`` shingles is
+dealt out by hash; its parts are joined within themselves first, and after that only classes of different components
+meet across parts, the largest component of a block never with itself.  Components come from star contraction.
 
 Edge cases: null texts and texts without words have an empty set, link with nothing and are their own
 component; fewer words than a shingle make one shingle; rows that repeat, or repeat a doc_id, are nodes of their own
@@ -31,9 +36,14 @@ from pyspark.sql import functions as F
 
 from .common import bounded, discard, stored, table
 from .components import components
-from .textnp import binaries, mix64, slices
-
-TILE, LEAF, FREQUENT, SAMPLE_SHARE, ROUNDS, FINE = 4096, 32, 100_000, 32, 2, 16
+from .textnp import mix64, slices
+
+#: Classes and shingles of a block that one task holds; classes of a leaf.
+TILE, VOLUME, LEAF = 4096, 1 << 22, 32
+#: Shingles of the bounded list that orders prefixes, drawn from one document in so many.
+FREQUENT, SAMPLE_SHARE = 100_000, 32
+#: Parity groups for each group of counts.
+FINE = 16
 _WEIGHTS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(16)], np.uint64)
 
 
@@ -76,54 +86,67 @@ def groups_for(n: int) -> int:
     return 1 << min(max((n // 8).bit_length(), 4), 11)
 
 
-def _sets(width: int):
+def _digest(h: np.ndarray) -> tuple[int, int]:
+    raw = hashlib.blake2b(h.tobytes(), digest_size=16).digest()
+    return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
+
+
+def summary(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A set's point (counts by group) and the parities of its counts over ``FINE`` times as many groups, as bits."""
+    g = groups_for(len(h))
+    point = np.bincount((h & np.uint64(g - 1)).astype(np.int64), minlength=g)
+    odd = np.bincount((h >> np.uint64(24) & np.uint64(FINE * g - 1)).astype(np.int64), minlength=FINE * g) & 1
+    return np.minimum(point, 65535).astype(np.uint16), np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def _hashes(width: int):
     def run(batches):
         for batch in batches:
-            for s in slices(batch.column(1)):
-                h, bounds = shingle_sets(s, width)
-                ids = [_digest(h[a:b]) if b > a else None for a, b in zip(bounds, bounds[1:], strict=False)]
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, len(s)), pa.array(ids, pa.int64()), lists], names=["doc_id", "cid", "set"])
+            for s in slices(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(s, width)[0].view(np.int64))], names=["h"])
 
     return run
 
 
-def _digest(h: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(h.tobytes(), digest_size=8).digest(), "little", signed=True)
-
-
 def _sketch(width: int, percent: int, frequent: np.ndarray):
-    order = np.argsort(frequent[:, 0])
-    known, rank = frequent[order, 0].view(np.uint64), frequent[order, 1].astype(np.uint64)
-    sorted_ = np.argsort(known)
-    known, rank = known[sorted_], rank[sorted_]
+    """(doc_id, text_key, text) -> the row's digest, summary and prefix; prefix shingles of the list ``frequent`` apart."""
+    order = np.argsort(frequent)
+    known, rank = frequent[order].view(np.uint64), (len(frequent) - order).astype(np.uint64)
+    order = np.argsort(known)
+    known, rank = known[order], rank[order]
 
     def run(batches):
         for batch in batches:
-            for s in slices(batch.column(1)):
+            for s in slices(batch.column(2)):
                 h, bounds = shingle_sets(s, width)
                 size = np.diff(bounds)
-                place = h >> np.uint64(1)
+                place, often = h >> np.uint64(1), np.zeros(len(h), bool)
                 if len(known) and len(h):
                     at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                    hit = known[at] == h
-                    place[hit] = (np.uint64(1) << np.uint64(63)) + rank[at[hit]]
+                    often = known[at] == h
+                    place[often] = (np.uint64(1) << np.uint64(63)) + rank[at[often]]
                 doc = np.repeat(np.arange(len(s)), size)
                 turn = np.lexsort((place, doc))
                 prefix = np.where(size > 0, size - -(-size * percent // 100) + 1, 0)
                 nth = np.arange(len(h)) - np.repeat(bounds[:-1], size)
-                keys = h[turn][nth < prefix[doc]].view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)), pa.array(keys))
-                ids, points, fine = [], [], []
+                turn = turn[nth < prefix[doc]]  # doc is ascending, so it is the same before and after the sort
+                few, many = turn[~often[turn]], turn[often[turn]]
+                one, two, points, fine = [], [], [], []
                 for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
-                    ids.append(_digest(h[a:b]) if b > a else None)
-                    g = groups_for(b - a)
-                    points.append(np.bincount((h[a:b] & np.uint64(g - 1)).astype(np.int64), minlength=g))
-                    odd = np.bincount((h[a:b] >> np.uint64(24) & np.uint64(FINE * g - 1)).astype(np.int64), minlength=FINE * g) & 1
-                    fine.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
-                at = np.concatenate([[0], np.cumsum([len(p) for p in points])])
-                flat = np.minimum(np.concatenate(points), 65535).astype(np.uint16)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, len(s)), pa.array(size.astype(np.int64)), pa.array(ids, pa.int64()), binaries(flat, at), pa.array(fine, pa.binary()), lists, batch.column(2).slice(s.first, len(s))], names=["doc_id", "n", "cid", "point", "fine", "keys", "text_key"])
+                    pair = _digest(h[a:b]) if b > a else (None, None)
+                    one.append(pair[0])
+                    two.append(pair[1])
+                    point, bits = summary(h[a:b])
+                    points.append(point.tobytes())
+                    fine.append(bits.tobytes())
+                lists = []
+                for part in (few, many):
+                    ends = np.concatenate([[0], np.cumsum(np.bincount(doc[part], minlength=len(s)))]).astype(np.int32)
+                    lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(h[part].view(np.int64))))
+                row = [batch.column(k).slice(s.first, len(s)) for k in (0, 1)]
+                row += [pa.array(size.astype(np.int64)), pa.array(one, pa.int64()), pa.array(two, pa.int64())]
+                row += [pa.array(points, pa.binary()), pa.array(fine, pa.binary()), *lists]
+                yield pa.RecordBatch.from_arrays(row, names=["doc_id", "text_key", "n", "d1", "d2", "point", "fine", "keys", "often"])
 
     return run
 
@@ -143,132 +166,196 @@ def _fold_bits(bits: np.ndarray, words: int) -> np.ndarray:
 
 
 class _Node:
-    __slots__ = ("at", "top", "least", "most", "comp", "kids")
+    """Some members of a block: ``at``, their places in the block's columns, and ``rows``, in the tree's own matrices."""
 
-    def __init__(self, at, points, sizes, comps):
-        self.at, self.top, self.least, self.most = at, points[at].max(0), int(sizes[at].min()), int(sizes[at].max())
-        self.comp = comps[at[0]] if (comps[at] == comps[at[0]]).all() else None
+    __slots__ = ("rows", "at", "top", "least", "most", "kids")
+
+    def __init__(self, rows, at, points, sizes, percent):
+        self.rows, self.at = rows, at[rows]
+        self.top, self.least, self.most = points[rows].max(0), int(sizes[rows].min()), int(sizes[rows].max())
         self.kids = ()
-        if len(at) > LEAF:
-            wide = int(np.argmax(points[at].max(0) - points[at].min(0)))
-            order = at[np.argsort(points[at, wide] if self.most * 85 <= self.least * 100 else sizes[at], kind="stable")]
+        if len(rows) > LEAF:
+            wide = int(np.argmax(self.top - points[rows].min(0)))
+            alike = self.most * percent <= self.least * 100
+            order = rows[np.argsort(points[rows, wide] if alike else sizes[rows], kind="stable")]
             half = len(order) // 2
-            self.kids = (_Node(order[:half], points, sizes, comps), _Node(order[half:], points, sizes, comps))
+            self.kids = tuple(_Node(part, at, points, sizes, percent) for part in (order[:half], order[half:]))
+
 
+class _Side:
+    """The members of one side of a join whose points have the same number of groups, as matrices."""
 
-def tree_join(points_a, sizes_a, comps_a, fine_a, points_b, sizes_b, comps_b, fine_b, percent: int, same: bool):
-    """Index pairs whose overlap bound reaches the threshold and whose components differ, by descending both trees.
+    def __init__(self, at, points, fine, sizes):
+        self.at, self.points, self.fine, self.sizes = at, points, fine, sizes
 
-    At the leaves a second bound follows: groups so fine that their counts' parities alone tell most differences.
+
+def tree_join(a: _Side, b: _Side, percent: int, same: bool, done, differ):
+    """Yields arrays of pairs (places in the block) whose overlap bound reaches the threshold, by descending both trees.
+
+    ``done(p, q)`` says whether pairs between two sets of places have nothing left to tell; ``differ(p, q)``
+    marks the pairs, place by place, that still matter.  At the leaves a second bound follows: groups so fine that their
+    counts' parities alone tell most differences.
     """
-    if not len(sizes_a) or not len(sizes_b):
+    if not len(a.at) or not len(b.at):
         return
-    left = _Node(np.arange(len(sizes_a)), points_a, sizes_a, comps_a)
-    right = left if same else _Node(np.arange(len(sizes_b)), points_b, sizes_b, comps_b)
+    left = _Node(np.arange(len(a.at)), a.at, a.points, a.sizes, percent)
+    right = left if same else _Node(np.arange(len(b.at)), b.at, b.points, b.sizes, percent)
     todo = [(left, right)]
     while todo:
-        a, b = todo.pop()
-        if a.comp is not None and a.comp == b.comp:
-            continue
-        if 100 * a.most < percent * b.least or 100 * b.most < percent * a.least:
+        x, y = todo.pop()
+        if 100 * x.most < percent * y.least or 100 * y.most < percent * x.least:
             continue
-        if (100 + percent) * int(np.minimum(a.top, b.top).sum()) < percent * (a.least + b.least):
+        if (100 + percent) * int(np.minimum(x.top, y.top).sum()) < percent * (x.least + y.least) or done(x.at, y.at):
             continue
-        if a.kids and (len(a.at) >= len(b.at) or not b.kids):
-            if a is b:
-                x, y = a.kids
-                todo += [(x, x), (x, y), (y, y)]
+        if x.kids and (len(x.at) >= len(y.at) or not y.kids):
+            if x is y:
+                u, v = x.kids
+                todo += [(u, u), (u, v), (v, v)]
             else:
-                todo += [(x, b) for x in a.kids]
-        elif b.kids:
-            todo += [(a, x) for x in b.kids]
+                todo += [(u, y) for u in x.kids]
+        elif y.kids:
+            todo += [(x, u) for u in y.kids]
         else:
-            most = np.minimum(points_a[a.at][:, None, :], points_b[b.at][None, :, :]).sum(2)
-            total = sizes_a[a.at][:, None] + sizes_b[b.at][None, :]
-            ok = ((100 + percent) * most >= percent * total) & (comps_a[a.at][:, None] != comps_b[b.at][None, :])
-            if a is b:
-                ok &= a.at[:, None] < b.at[None, :]
-            i, j = np.nonzero(ok)
-            i, j = a.at[i], b.at[j]
+            most = np.minimum(a.points[x.rows][:, None, :], b.points[y.rows][None, :, :]).sum(2)
+            ok = (100 + percent) * most >= percent * (a.sizes[x.rows][:, None] + b.sizes[y.rows][None, :])
+            if x is y:
+                ok &= x.rows[:, None] < y.rows[None, :]
+            i, j = np.nonzero(ok & differ(x.at[:, None], y.at[None, :]))
+            i, j = x.rows[i], y.rows[j]
             if len(i):
-                total = sizes_a[i] + sizes_b[j]
-                apart = np.bitwise_count(fine_a[i] ^ fine_b[j]).sum(1, dtype=np.int64)
+                total = a.sizes[i] + b.sizes[j]
+                apart = np.bitwise_count(a.fine[i] ^ b.fine[j]).sum(1, dtype=np.int64)
                 sure = (100 + percent) * ((total - apart) // 2) >= percent * total
-                yield from zip(i[sure].tolist(), j[sure].tolist(), strict=True)
-
-
-def _blocks(percent: int):
-    """Rows sorted by (key, i, j) -> candidate pairs of each block or pair of tiles."""
-
-    def block(t: dict):
-        size, comp, cid, tile = t["n"], t["comp"], t["cid"], t["tile"]
-        pairs = []
-        if len(size) < 2 or (comp == comp[0]).all():
-            return pairs
-        by: dict[int, list[int]] = {}
-        for i, p in enumerate(t["point"]):
-            by.setdefault(len(p) // 2, []).append(i)
-        mats = {g: np.frombuffer(b"".join(t["point"][i] for i in at), np.uint16).reshape(len(at), g).astype(np.int32) for g, at in by.items()}
-        fines = {g: np.frombuffer(b"".join(t["fine"][i] for i in at), np.uint64).reshape(len(at), -1) for g, at in by.items()}
-        two = t["i"] != t["j"]
-        for g, at in by.items():
-            for g2 in (g, 2 * g):
-                if g2 not in by:
-                    continue
-                a, b = np.array(at), np.array(by[g2])
-                pa_, pb, fa, fb = mats[g], _fold(mats[g2], g), fines[g], _fold_bits(fines[g2], fines[g].shape[1])
-                if two:
-                    sides = [(tile[a] == t["i"], tile[b] == t["j"])] + ([(tile[a] == t["j"], tile[b] == t["i"])] if g2 != g else [])
-                else:
-                    sides = [(np.ones(len(a), bool), np.ones(len(b), bool))]
-                for x, y in sides:
-                    for i, j in tree_join(pa_[x], size[a[x]], comp[a[x]], fa[x], pb[y], size[b[y]], comp[b[y]], fb[y], percent, g2 == g and not two):
-                        pairs.append((cid[a[x][i]], cid[b[y][j]]))
-        return pairs
+                if sure.any():
+                    yield a.at[i[sure]], b.at[j[sure]]
+
+
+def _block_pairs(size, side, points: list, fine: list, percent: int, done, differ):
+    """Surviving pairs of a block: among all members where ``side`` is 2, else between the sides 0 and 1.
+
+    Sets that can reach the threshold have numbers of groups that are equal or differ by a factor of two.
+    """
+    levels: dict[int, list[int]] = {}
+    for i, p in enumerate(points):
+        levels.setdefault(len(p), []).append(i)
+    mats = {}
+    for g, at in levels.items():
+        at = np.array(at)
+        mats[g] = _Side(at, np.stack([points[i] for i in at]).astype(np.int32), np.stack([fine[i] for i in at]), size[at])
+
+    def only(of: _Side, which: int, g: int) -> _Side:
+        at = np.flatnonzero((side[of.at] == which) | (side[of.at] == 2))
+        return _Side(of.at[at], _fold(of.points[at], g), _fold_bits(of.fine[at], FINE * g // 64), of.sizes[at])
+
+    for g, one in mats.items():
+        whole = bool((side == 2).all())
+        if whole:
+            yield from tree_join(one, one, percent, True, done, differ)
+        else:
+            yield from tree_join(only(one, 0, g), only(one, 1, g), percent, False, done, differ)
+        if 2 * g in mats:
+            yield from tree_join(only(one, 0, g), only(mats[2 * g], 1, g), percent, False, done, differ)
+            if not whole:
+                yield from tree_join(only(one, 1, g), only(mats[2 * g], 0, g), percent, False, done, differ)
+
+
+def _grouped(batches):
+    """Rows sorted by (a, i, j) -> one table a group."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in ("a", "i", "j")])
+        cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
+        if held and tuple(key[:, 0]) != last:
+            yield pa.Table.from_batches(held)
+            held = []
+        bounds = [0, *cuts.tolist(), batch.num_rows]
+        for x, y in zip(bounds[:-2], bounds[1:-1], strict=True):
+            yield pa.Table.from_batches([*held, batch.slice(x, y - x)])
+            held = []
+        held.append(batch.slice(bounds[-2]))
+        last = tuple(key[:, -1])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _some(names: list[str], parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+    flat = [np.concatenate(p) if p else np.zeros(0) for p in parts]
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in flat], names=names)
+
+
+_MEMBER = ["a", "i", "j", "side", "cid", "comp"]
+
+
+def _survivors(percent: int):
+    """Members (a, i, j, side, cid, comp, n, point, fine) sorted by block -> those that the tree cannot rule out, once each."""
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            whole = pa.Table.from_batches(held)
-            key = np.stack([whole.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")])
-            ends = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
-            if not len(ends):
+        parts: list[list[np.ndarray]] = [[] for _ in _MEMBER]
+        for t in _grouped(batches):
+            if t.num_rows < 2:
+                continue
+            size, comp = t.column("n").to_numpy(), t.column("comp").to_numpy()
+            if (comp == comp[0]).all() or (size.min() * 100 < percent * size.max() and t.num_rows == 2):
                 continue
-            yield from emit(whole.slice(0, ends[-1]), ends[:-1])
-            held = whole.slice(ends[-1]).to_batches()
-        if held:
-            whole = pa.Table.from_batches(held)
-            key = np.stack([whole.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")])
-            yield from emit(whole, np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1)
-
-    def emit(whole: pa.Table, cuts: np.ndarray):
-        cols = {c: whole.column(c).to_numpy() for c in ("cid", "n", "comp", "tile", "i", "j")}
-        points, fine = whole.column("point").to_pylist(), whole.column("fine").to_pylist()
-        bounds = [0, *cuts.tolist(), whole.num_rows]
-        out: set[tuple[int, int]] = set()
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            t = {c: v[a:b] for c, v in cols.items() if c not in "ij"} | {"i": cols["i"][a], "j": cols["j"][a], "point": points[a:b], "fine": fine[a:b]}
-            out.update((min(p), max(p)) for p in block(t))
-        rows = np.array(sorted(out), np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["a", "b"])
+            mark = np.zeros(len(size), bool)
+            points = [np.frombuffer(x, np.uint16) for x in t.column("point").to_pylist()]
+            fine = [np.frombuffer(x, np.uint64) for x in t.column("fine").to_pylist()]
+            pairs = _block_pairs(
+                size, t.column("side").to_numpy(), points, fine, percent,
+                lambda p, q: mark[p].all() and mark[q].all(),  # noqa: B023
+                lambda p, q: (comp[p] != comp[q]) & ~(mark[p] & mark[q]),  # noqa: B023
+            )
+            for p, q in pairs:
+                mark[p] = mark[q] = True
+            if mark.any():
+                for one, c in zip(parts, _MEMBER, strict=True):
+                    one.append(t.column(c).to_numpy()[mark])
+            if len(parts[0]) >= 512:
+                yield _some(_MEMBER, parts)
+                parts = [[] for _ in _MEMBER]
+        yield _some(_MEMBER, parts)
 
     return run
 
 
-def _bounded_pairs(percent: int):
+def _spanning(width: int, percent: int):
+    """Members (a, i, j, side, cid, comp, text) sorted by block -> the links (a, b) that join two components of the block."""
+
     def run(batches):
-        for batch in batches:
-            c = dict(zip(batch.schema.names, batch.columns, strict=True))
-            total = c["na"].to_numpy() + c["nb"].to_numpy()
-            most = []
-            for x, y, u, v, t in zip(c["pa"].to_pylist(), c["pb"].to_pylist(), c["fa"].to_pylist(), c["fb"].to_pylist(), total.tolist(), strict=True):
-                x, y = np.frombuffer(x, np.uint16).astype(np.int32)[None], np.frombuffer(y, np.uint16).astype(np.int32)[None]
-                u, v = np.frombuffer(u, np.uint64)[None], np.frombuffer(v, np.uint64)[None]
-                g, w = min(x.shape[1], y.shape[1]), min(u.shape[1], v.shape[1])
-                apart = int(np.bitwise_count(_fold_bits(u, w) ^ _fold_bits(v, w)).sum())
-                most.append(min(int(np.minimum(_fold(x, g), _fold(y, g)).sum()), (t - apart) // 2))
-            yield batch.select(["a", "b", "na", "nb"]).filter(pa.array((100 + percent) * np.array(most, np.int64) >= percent * total))
+        parts: list[list[np.ndarray]] = [[], []]
+        for t in _grouped(batches):
+            cid = t.column("cid").to_numpy()
+            sets = []
+            for s in slices(t.column("text")):
+                h, bounds = shingle_sets(s, width)
+                sets += [h[x:y] for x, y in zip(bounds, bounds[1:], strict=False)]
+            size = np.array([len(h) for h in sets])
+            ends = np.concatenate([[0], np.cumsum(size)])
+            names, local = np.unique(np.concatenate(sets), return_inverse=True)
+            seen = np.zeros(len(names), bool)
+            root = np.unique(t.column("comp").to_numpy(), return_inverse=True)[1]
+            both = [summary(h) for h in sets]
+            pairs = _block_pairs(
+                size, t.column("side").to_numpy(), [p for p, _ in both], [f for _, f in both], percent,
+                lambda p, q: (root[p] == root[p[0]]).all() and (root[q] == root[p[0]]).all(),  # noqa: B023
+                lambda p, q: root[p] != root[q],  # noqa: B023
+            )
+            for p, q in pairs:
+                for x in np.unique(p):
+                    seen[local[ends[x] : ends[x + 1]]] = True
+                    for y in q[p == x]:
+                        if root[x] == root[y]:
+                            continue
+                        common = int(np.count_nonzero(seen[local[ends[y] : ends[y + 1]]]))
+                        if (100 + percent) * common >= percent * int(size[x] + size[y]):
+                            root[root == root[y]] = root[x]
+                            parts[0].append(cid[x : x + 1])
+                            parts[1].append(cid[y : y + 1])
+                    seen[local[ends[x] : ends[x + 1]]] = False
+        yield _some(["a", "b"], parts)
 
     return run
 
@@ -278,112 +365,125 @@ def _row(doc_id: str):
     return F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("doc_id"), "text_key")
 
 
+def _tiles(rows: str, shingles: str):
+    return F.greatest(F.ceil(F.col(rows) / TILE), F.ceil(F.col(shingles) / VOLUME), F.lit(1)).cast("int")
+
+
 class Join:
-    """The classes of a corpus, the links between them, and every row's component."""
+    """The classes of a corpus, links that span their components, and every row's component.
+
+    ``rows`` (doc_id, text_key, n, d1, d2): every row with the 128-bit digest of its set; ``classes`` (d1, d2, cid, rep, text_key,
+    n): each distinct set once, under a number of its own; ``links`` (a, b) and ``labels`` (node, comp) by that number.
+    """
 
     def __init__(self, docs: DataFrame, width: int, percent: int):
         self.width, self.percent = width, percent
-        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
-        frequent = self._frequent()
-        fields = "doc_id long, n long, cid long, point binary, fine binary, keys array<long>, text_key long"
-        self.rows = stored(self.docs.mapInArrow(_sketch(width, percent, frequent), fields), "jaccard-rows")
-        self.classes = stored(self.rows.where("cid IS NOT NULL").groupBy("cid").agg(F.min(_row("doc_id")).alias("m"), F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine")).select("cid", F.col("m.doc_id").alias("rep"), "m.text_key", "n", "point", "fine"), "jaccard-classes")
-        blocks, labels = self._blocked(), None
-        self.links = None
-        for turn in range(ROUNDS):
-            pairs, blocks = self._star(blocks, labels, turn)
-            links = self._verified(pairs)
-            self.links = links if self.links is None else self.links.unionByName(links)
-            if labels is not None:
-                discard(labels)
-            labels = stored(components(self.links), "jaccard-components")
-            if not links.head(1):
-                break
-        self.links = self.links.unionByName(self._verified(self._tree_pairs(blocks, labels)))
+        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+        self.parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        fields = "doc_id long, text_key long, n long, d1 long, d2 long, point binary, fine binary, keys array<long>, often array<long>"
+        whole = stored(self.docs.mapInArrow(_sketch(width, percent, self._frequent()), fields), "jaccard-sketches")
+        heavy = [F.first(c).alias(c) for c in ("n", "point", "fine", "keys", "often")]
+        classes = whole.where("d1 IS NOT NULL").groupBy("d1", "d2").agg(F.min(_row("doc_id")).alias("m"), *heavy)
+        classes = classes.select("d1", "d2", F.monotonically_increasing_id().alias("cid"), "m", "n", "point", "fine", "keys", "often")
+        sketches = stored(classes, "jaccard-classes")
+        self.rows = stored(whole.select("doc_id", "text_key", "n", "d1", "d2"), "jaccard-rows")
+        discard(whole)
+        self.classes = stored(sketches.select("d1", "d2", "cid", F.col("m.doc_id").alias("rep"), "m.text_key", "n"), "jaccard-reps")
+        blocks = stored(self._blocked(sketches), "jaccard-blocks")
+        points = stored(sketches.select("cid", "point", "fine"), "jaccard-points")
+        discard(sketches)
+
+        large = blocks.groupBy("a").agg(F.count("*").alias("c"), F.sum("n").alias("v")).select("a", _tiles("c", "v").alias("tiles"))
+        large = stored(large.where("tiles > 1"), "jaccard-large")
+        own = F.pmod(F.xxhash64("cid"), F.coalesce("tiles", F.lit(1))).cast("int")
+        held = blocks.join(bounded(large, large.count()), "a", "left").withColumns({"i": own, "j": own, "comp": F.col("cid")})
+        self.links = self._linked(held.withColumn("side", F.lit(2)), points)
         self.labels = stored(components(self.links), "jaccard-labels")
-        discard(blocks, labels)
+        if large.head(1):
+            self.links = self.links.unionByName(self._linked(self._across(blocks, large), points))
+            before, self.labels = self.labels, stored(components(self.links), "jaccard-labels")
+            discard(before)
+        discard(blocks, points, large)
 
-    def _held(self, blocks: DataFrame, labels: DataFrame | None) -> DataFrame:
-        rows = blocks.select("key", "cid", "n")
-        if labels is None:
-            return rows.withColumn("comp", F.col("cid"))
-        return rows.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    def _frequent(self) -> np.ndarray:
+        """The shingles that most documents of a sample hold, most frequent first; a bounded list."""
+        part = self.docs.where(F.pmod(F.xxhash64("doc_id", F.lit("order")), F.lit(SAMPLE_SHARE)) == 0).select("text")
+        seen = part.mapInArrow(_hashes(self.width), "h long").groupBy("h").count().where("count > 2")
+        rows = seen.orderBy(F.desc("count"), "h").limit(FREQUENT).select("h").toArrow()
+        return rows.column(0).to_numpy() if rows.num_rows else np.zeros(0, np.int64)
 
-    def _star(self, blocks: DataFrame, labels: DataFrame | None, turn: int) -> tuple[DataFrame, DataFrame]:
-        """One partner for each class: of its blocks' centers in other components, the one that it meets most often.
+    def _blocked(self, sketches: DataFrame) -> DataFrame:
+        """(a, cid, n): the classes that share a prefix shingle with the center a, which is one of them.
 
-        Every round draws another member of a block as its center.  Blocks within one component are left behind.
+        The classes of a shingle meet in one window.  Shingles of the bounded list of frequent ones, which may be in very many
+        prefixes, are summed up before the shuffle instead and their centers, at most as many as the list has, joined back.
         """
-        held = self._held(blocks, labels)
-        center = F.struct(F.xxhash64("cid", F.lit(turn)).alias("h"), F.col("cid").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-        centers = held.groupBy("key").agg(F.min(center).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key", "m")
-        left = stored(held.join(centers, "key").select("key", "cid", "n", "comp", "m.a", "m.na", "m.ca"), "jaccard-blocks")
-        discard(blocks)
-        near = left.where((F.col("comp") != F.col("ca")) & (100 * F.least("n", "na") >= self.percent * F.greatest("n", "na")))
-        met = near.groupBy("cid", "a").agg(F.count("*").alias("c")).groupBy("cid").agg(F.max_by("a", F.struct("c", "a")).alias("a"))
-        return met.select("a", F.col("cid").alias("b")), left
-
-    def _frequent(self) -> np.ndarray:
-        """(hash, rank) of the shingles that most documents of a sample hold, most frequent last; a bounded list."""
-        part = self.docs.where(F.pmod(F.xxhash64("doc_id", F.lit("order")), F.lit(SAMPLE_SHARE)) == 0)
-        seen = part.mapInArrow(_sets(self.width), "doc_id long, cid long, set array<long>").select(F.explode("set").alias("h")).groupBy("h").count().where("count > 2")
-        rows = seen.orderBy(F.desc("count"), "h").limit(FREQUENT).select("h").toArrow()
-        h = rows.column(0).to_numpy() if rows.num_rows else np.zeros(0, np.int64)
-        return np.stack([h, np.arange(len(h))[::-1]], axis=1).astype(np.int64)
-
-    def _blocked(self) -> DataFrame:
-        """(key, cid, n): the classes of every prefix shingle that two or more of them share."""
-        parts = int(self.rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        keyed = self.rows.where("cid IS NOT NULL").select("cid", "n", F.explode("keys").alias("key")).repartition(parts, "key").dropDuplicates(["key", "cid"])
-        keyed = stored(keyed.withColumn("c", F.count("*").over(Window.partitionBy("key"))).where("c > 1").select("key", "cid", "n"), "jaccard-shared")
-        # Blocks with the same members say the same: one of them stays, told by two hashes of the set.
-        sets = keyed.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("cid", F.lit(2))).alias("y"))
-        one = sets.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key")
-        blocks = stored(keyed.join(one, "key", "left_semi"), "jaccard-blocks")
-        discard(keyed)
-        return blocks
-
-    def _verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of classes that reach the threshold: by points first, then by sets."""
-        c = self.classes
-        seen = pairs.join(c.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"), F.col("fine").alias("fa")), "a").join(c.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"), F.col("fine").alias("fb")), "b")
-        seen = stored(seen.mapInArrow(_bounded_pairs(self.percent), "a long, b long, na long, nb long"), "jaccard-pairs")
-        some = seen.select(F.col("a").alias("cid")).union(seen.select(F.col("b").alias("cid"))).distinct()
-        need = stored(c.join(some, "cid").select("rep", F.col("text_key").alias("rep_key"), "cid"), "jaccard-needed")
-        texts = self.docs.join(bounded(need.select("rep", "rep_key").distinct(), need.count()), (F.col("text_key") == F.col("rep_key")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-        sets = texts.mapInArrow(_sets(self.width), "doc_id long, cid long, set array<long>").join(need.select("cid"), "cid", "left_semi")
-        sets = stored(sets.dropDuplicates(["cid"]).select("cid", "set"), "jaccard-sets")
-        both = seen.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("cid").alias("b"), F.col("set").alias("sb")), "b")
-        links = both.where((100 + self.percent) * F.size(F.array_intersect("sa", "sb")) >= self.percent * (F.col("na") + F.col("nb"))).select("a", "b")
-        links = stored(links, "jaccard-links")
-        discard(seen, need, sets)
+        center = F.struct(F.xxhash64("cid").alias("h"), F.col("cid").alias("a"))
+        w = Window.partitionBy("key")
+        rare = sketches.select("cid", "n", F.explode("keys").alias("key")).repartition(self.parts, "key")
+        rare = rare.select("cid", "n", F.count("*").over(w).alias("c"), F.min(center).over(w).alias("m")).where("c > 1")
+        often = sketches.select("cid", "n", F.explode("often").alias("key"))
+        centers = often.groupBy("key").agg(F.count("*").alias("c"), F.min(center).alias("m")).where("c > 1")
+        often = often.join(F.broadcast(centers.select("key", "m")), "key")
+        return rare.select("m.a", "cid", "n").unionByName(often.select("m.a", "cid", "n")).distinct()
+
+    def _across(self, blocks: DataFrame, large: DataFrame) -> DataFrame:
+        """Members of the large blocks that hold several components, to meet across their parts.
+
+        The block's largest component is its major one.  Major and other members are dealt out apart; others meet everyone,
+        major ones only the others, so a block that its first pass has joined up to a few members costs a few copies a row.
+        """
+        held = blocks.join(bounded(large.select("a"), large.count()), "a").join(self.labels.withColumnRenamed("node", "cid"), "cid", "left")
+        held = stored(held.withColumn("comp", F.coalesce("comp", "cid")), "jaccard-across")
+        by = stored(held.groupBy("a", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("v")), "jaccard-parts")
+        tops = by.groupBy("a").agg(F.max(F.struct("c", "v", "comp")).alias("m"), F.sum("c").alias("c"), F.sum("v").alias("v"))
+        tops = tops.where("c > m.c").select("a", F.col("m.comp").alias("major"), (F.col("c") - F.col("m.c")).alias("c0"), (F.col("v") - F.col("m.v")).alias("v0"), F.col("m.c").alias("c1"), F.col("m.v").alias("v1"))
+        tops = stored(tops.select("a", "major", _tiles("c0", "v0").alias("s"), _tiles("c1", "v1").alias("t")), "jaccard-majors")
+        held = held.join(bounded(tops, tops.count()), "a")
+        major = F.col("comp") == F.col("major")
+        own = F.when(major, F.col("s") + F.pmod(F.xxhash64("cid"), "t")).otherwise(F.pmod(F.xxhash64("cid"), "s")).cast("int")
+        met = F.when(major, F.col("s")).otherwise(F.col("s") + F.col("t")) - 1
+        held = held.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), met)))
+        side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+        return held.select("a", "cid", "n", "comp", side.alias("side"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def _met(self, members: DataFrame) -> DataFrame:
+        return members.repartition(self.parts, "a", "i", "j").sortWithinPartitions("a", "i", "j")
+
+    def _linked(self, held: DataFrame, points: DataFrame) -> DataFrame:
+        """Members of blocks -> links between their components: first by points alone, then on the sets of what is left."""
+        fields = ", ".join(f"{c} long" for c in _MEMBER)
+        left = self._met(held.select(*_MEMBER, "n").join(points, "cid")).mapInArrow(_survivors(self.percent), fields)
+        left = stored(left, "jaccard-left")
+        need = left.select("cid").distinct().join(self.classes, "cid").select("cid", "rep", F.col("text_key").alias("rep_key"))
+        need = stored(need, "jaccard-needed")
+        same = (F.col("text_key") == F.col("rep_key")) & F.col("doc_id").eqNullSafe(F.col("rep"))
+        texts = self.docs.join(bounded(need, need.count()), same).groupBy("cid").agg(F.first("text").alias("text"))
+        links = self._met(left.join(texts, "cid")).mapInArrow(_spanning(self.width, self.percent), "a long, b long")
+        links = stored(links.distinct(), "jaccard-links")
+        discard(left, need)
         return links
 
-    def _tree_pairs(self, blocks: DataFrame, first: DataFrame) -> DataFrame:
-        """Candidates of the blocks that still hold more than one component."""
-        held = self._held(blocks, first)
-        split = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c")).where("lo <> hi")
-        tiles = F.ceil(F.col("c") / TILE).cast("int")
-        held = held.join(split.select("key", tiles.alias("tiles")), "key").join(self.classes.select("cid", "point", "fine"), "cid")
-        held = held.withColumn("tile", F.pmod(F.xxhash64("cid"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        held = held.select("key", "cid", "n", "comp", "point", "fine", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
-        parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ready = held.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-        return ready.mapInArrow(_blocks(self.percent), "a long, b long").distinct()
+    def _labelled(self) -> DataFrame:
+        """The classes with their component."""
+        label = self.classes.join(self.labels.withColumnRenamed("node", "cid"), "cid", "left")
+        return label.withColumn("comp", F.coalesce("comp", "cid"))
 
     def spare(self) -> DataFrame:
         """(doc_id, text_key) of the rows with words that are not the first of their component; nulls come last."""
-        label = self.classes.join(self.labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        label = self._labelled()
         first = label.groupBy("comp").agg(F.min(_row("rep")).alias("m")).select("comp", F.col("m.doc_id").alias("first"), F.col("m.text_key").alias("first_key"))
-        rows = self.rows.join(label.select("cid", "comp").join(first, "comp"), "cid")
-        return rows.where(~(F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("text_key") == F.col("first_key")))).select("doc_id", "text_key").distinct()
+        rows = self.rows.join(label.select("d1", "d2", "comp").join(first, "comp"), ["d1", "d2"])
+        kept = F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("text_key") == F.col("first_key"))
+        return rows.where(~kept).select("doc_id", "text_key").distinct()
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id for every row."""
-        label = self.classes.select("cid", "rep").join(self.labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        label = self._labelled()
         least = label.groupBy("comp").agg(F.min("rep").alias("component_id"))
-        label = stored(label.join(least, "comp").select("cid", "component_id"), "jaccard-result")
-        return self.rows.select("doc_id", "n", "cid").join(label, "cid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        label = stored(label.join(least, "comp").select("d1", "d2", "component_id"), "jaccard-result")
+        rows = self.rows.join(label, ["d1", "d2"], "left")
+        return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +45,44 @@ def test_join_on_dense_near_copies(spark, monkeypatch):
     assert got == brute(docs.collect(), 4, 85)
 
 
+@pytest.mark.parametrize("limit", [("TILE", 8), ("VOLUME", 2000)])
+def test_join_across_the_parts_of_a_block(spark, monkeypatch, limit):
+    """One large group, a second one that hangs on it by a single bridge, and texts that share shingles but do not link."""
+    monkeypatch.setattr(jaccard, *limit)
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(100)]
+
+    def edited(words, n, tag):
+        out = list(words)
+        for k in rng.choice(len(out), n, replace=False):
+            out[k] = f"{tag}{rng.integers(10_000)}"
+        return out
+
+    far = edited(base, 6, "far")
+    texts = [edited(base, 1, "n") for _ in range(70)] + [edited(far, 1, "f") for _ in range(25)]
+    texts += [base[:40] + edited(base, 100, "own") for _ in range(20)]
+    texts += [far[:17] + base[17:], base[:50] + far[50:]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    join = jaccard.Join(docs, 4, 85)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in join.result().collect())
+    assert got == brute(docs.collect(), 4, 85)
+    assert join.links.count() < 3 * len(texts)
+
+
+def test_survivors_stay_linear_and_whole(spark):
+    """However many pairs a block has, each member leaves the first pass at most once, and none with a partner is lost."""
+    rng = np.random.default_rng(4)
+    sets = [np.unique(np.concatenate([np.arange(200), rng.integers(1000, 9000, 20)])).astype(np.uint64) for _ in range(150)]
+    sets += [np.unique(rng.integers(10_000, 99_000, 220)).astype(np.uint64) for _ in range(50)]
+    sets = [jaccard.mix64(s) for s in sets]
+    rows = [(0, 0, 0, 2, i, i, len(s), p.tobytes(), f.tobytes()) for i, s in enumerate(sets) for p, f in [jaccard.summary(s)]]
+    names = ["a", "i", "j", "side", "cid", "comp", "n", "point", "fine"]
+    batches = pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows]).to_batches(max_chunksize=37)
+    got = [x for b in jaccard._survivors(80)(batches) for x in b.column("cid").to_pylist()]
+    want = {i for i, s in enumerate(sets) for j, t in enumerate(sets) if i != j and 100 * len(np.intersect1d(s, t)) >= 80 * len(np.union1d(s, t))}
+    assert len(got) == len(set(got)) and want and want <= set(got)
+
+
 def test_tree_bound_loses_no_pair():
     rng = np.random.default_rng(1)
     sets = [set(rng.integers(0, 400, 60).tolist()) for _ in range(60)]
@@ -51,8 +90,9 @@ def test_tree_bound_loses_no_pair():
     points = np.array([np.bincount([x % 16 for x in s], minlength=16) for s in sets])
     odd = np.array([np.bincount([x * 7 % 512 for x in s], minlength=512) & 1 for s in sets]).astype(np.uint8)
     fine = np.packbits(odd, axis=1, bitorder="little").view(np.uint64)
-    sizes, comps = np.array([len(s) for s in sets]), np.arange(len(sets))
-    got = {tuple(sorted(p)) for p in jaccard.tree_join(points, sizes, comps, fine, points, sizes, comps, fine, 85, True)}
+    side = jaccard._Side(np.arange(len(sets)), points, fine, np.array([len(s) for s in sets]))
+    found = jaccard.tree_join(side, side, 85, True, lambda p, q: False, lambda p, q: p != q)
+    got = {tuple(sorted(x)) for p, q in found for x in zip(p.tolist(), q.tolist(), strict=True)}
     want = {(i, j) for j in range(len(sets)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])}
     assert want and want <= got
 
