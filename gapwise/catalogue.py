@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .functions.expr import contains_folded, finite, leaf, parts, slug
 from .operators import catalog, coverage, extract, profile, relational, rules, select, temporal, tensors
+from .plans.storage import freeze
 from .sources import measurements as store
 from .streaming import sessions as stream
 
@@ -54,7 +55,8 @@ def clicks(spark, d) -> DataFrame:
 
 
 def tagged(spark, d) -> DataFrame:
-    return temporal.session_ids(temporal.clean(clicks(spark, d)), [], ORDER, GAP)
+    """The reference signal under its sessions; stored, as several operators read it."""
+    return freeze(temporal.session_ids(temporal.clean(clicks(spark, d)), [], ORDER, GAP).drop("prev_time", "signal_name"))
 
 
 def found_sessions(spark, d) -> DataFrame:
@@ -62,7 +64,7 @@ def found_sessions(spark, d) -> DataFrame:
 
 
 def found_cycles(spark, d) -> DataFrame:
-    return temporal.cycles(tagged(spark, d).drop("gap_us"), ["session_id"], ORDER, THRESHOLD)
+    return freeze(temporal.cycles(tagged(spark, d).drop("gap_us"), ["session_id"], ORDER, THRESHOLD, hold=freeze))
 
 
 def inside(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -72,7 +74,7 @@ def inside(spark, d) -> tuple[DataFrame, DataFrame]:
 
 def quality(spark, d) -> tuple[DataFrame, DataFrame]:
     measurements, cycles = inside(spark, d)
-    return profile.signal_quality(measurements, cycles), cycles
+    return profile.signal_quality(freeze(measurements), cycles), cycles
 
 
 # SQL building blocks -------------------------------------------------------------------------------------------------
@@ -129,9 +131,9 @@ def footer_statistics(spark, d):
     return out.agg(F.sum("row_count").alias("row_count"), F.min("min_time").alias("min_time"), F.max("max_time").alias("max_time"))
 
 
-@query("SELECT p_partkey, p_type FROM part WHERE regexp_matches(p_type, '(?i)^(standard|promo).*(tin|steel)$')")
+@query("SELECT p_partkey, p_type FROM part WHERE regexp_matches(p_type, '(?i)^(standard|pro).*(d|o)$')")
 def find_signals_regex(spark, d):
-    return read(spark, d, "part").where(F.col("p_type").isNotNull() & F.col("p_type").rlike("(?i)^(standard|promo).*(tin|steel)$")).select("p_partkey", "p_type")
+    return read(spark, d, "part").where(F.col("p_type").isNotNull() & F.col("p_type").rlike("(?i)^(standard|pro).*(d|o)$")).select("p_partkey", "p_type")
 
 
 @query("SELECT p_partkey, replace(lower(trim(p_name)), ' ', '_') AS slug, list_extract(string_split(p_type, ' '), -1) AS leaf, CAST(len(list_filter(string_split(p_type, ' '), lambda x: x <> '')) AS INTEGER) AS n_parts, contains(lower(p_name), 'red') AS has_red FROM part")
@@ -275,7 +277,7 @@ def session_overlap(spark, d):
 SELECT cycle_id, CASE WHEN nt IS NULL OR date_diff('microsecond', bt, start_time) <= date_diff('microsecond', start_time, nt) THEN bt ELSE nt END AS nearest_time, round(CASE WHEN nt IS NULL OR date_diff('microsecond', bt, start_time) <= date_diff('microsecond', start_time, nt) THEN bv ELSE nv END, 6) AS nearest_value FROM b JOIN a USING (cycle_id)""")
 def nearest_value(spark, d):
     views = events(spark, d).where("signal_name = 'view'").select("time", "value")
-    return rounded(temporal.nearest(found_cycles(spark, d).select("cycle_id", "start_time"), views, "start_time", point_key="cycle_id").select("cycle_id", "nearest_time", "nearest_value"))
+    return rounded(temporal.nearest(found_cycles(spark, d).select("cycle_id", "start_time"), views, "start_time").select("cycle_id", "nearest_time", "nearest_value"))
 
 
 @query(f"WITH {_CYC} SELECT session_id, min(start_time) AS start_time, max(end_time) + INTERVAL 1 MICROSECOND AS end_time, count(*) AS cycles FROM cyc GROUP BY 1")
@@ -352,7 +354,7 @@ def coverage_pivot(spark, d):
 
 _AXES = "('signup', 'view')"
 _CLASS = f"""{_PROF}, least AS (SELECT signal_name, greatest(1.0, 0.5 * coalesce(median(sample_count) FILTER (WHERE sample_count > 0), 0)) AS least FROM qual WHERE signal_name IN {_AXES} GROUP BY 1),
-cls AS (SELECT cycle_id, CASE WHEN sum(sample_count) = 0 THEN 'vibration_unavailable' WHEN count(*) FILTER (WHERE finite_sample_count > 0 AND sample_count >= least) = 2 THEN 'vibration_complete' ELSE 'vibration_partial' END AS vibration_class FROM qual JOIN least USING (signal_name) GROUP BY 1)"""
+cls AS (SELECT cycle_id, CASE WHEN coalesce(sum(sample_count), 0) = 0 THEN 'vibration_unavailable' WHEN count(*) FILTER (WHERE finite_sample_count > 0 AND sample_count >= least) = 2 THEN 'vibration_complete' ELSE 'vibration_partial' END AS vibration_class FROM cyc LEFT JOIN (qual JOIN least USING (signal_name)) USING (cycle_id) GROUP BY 1)"""
 
 
 @query(f"WITH {_CLASS} SELECT cycle_id, vibration_class FROM cls")
@@ -370,12 +372,10 @@ ru AS (SELECT scope, signal_name, metric, reference_count, median, mad, CASE WHE
 
 def frozen(spark, d):
     """Quality, profile, classes and rules; rules are written and read back, never recomputed."""
-    from .plans.storage import freeze
-
     q, cyc = quality(spark, d)
-    q, cyc = freeze(q), freeze(cyc)
-    prof = profile.cycle_profile(q, cyc, "click")
-    classes = rules.availability(q, cyc, CONFIG.vibration)
+    q = freeze(q)
+    prof = freeze(profile.cycle_profile(q, cyc, "click"))
+    classes = freeze(rules.availability(q, cyc, CONFIG.vibration))
     learned = freeze(rules.learned_rules(rules.reference_values(q, prof, classes, CONFIG), CONFIG))
     return q, prof, classes, learned
 
@@ -385,22 +385,33 @@ def learned_rules(spark, d):
     return rounded(frozen(spark, d)[3].withColumn("fallback_used", F.coalesce("fallback_used", F.lit(False))))
 
 
+#: Fixed values, written out for the SQL alone: metric, reason below, reason above.
+_SQL_CHECKS = (
+    ("sample_count", "sample_count_below_lower_bound", "sample_count_above_upper_bound"),
+    ("finite_sample_count", "sample_count_below_lower_bound", "sample_count_above_upper_bound"),
+    ("coverage_ratio", "coverage_below_lower_bound", None),
+    ("maximum_timestamp_gap", None, "maximum_gap_above_upper_bound"),
+    ("signal_range", "signal_range_below_lower_bound", "signal_range_above_upper_bound"),
+)
+
+
 def _check_sql(scope: str, signals: tuple) -> str:
     cases = []
-    for m, below, above, low, high in rules.CHECKS:
+    for m, low, high in _SQL_CHECKS:
         bound = lambda b: f"(SELECT {b} FROM ru WHERE ru.scope = '{scope}' AND ru.signal_name = q.signal_name AND ru.metric = '{m}')"  # noqa: E731, B023
-        if below:
+        if low:
             cases.append(f"CASE WHEN {m} < {bound('lower_bound')} THEN '{low}' END")
-        if above:
+        if high:
             cases.append(f"CASE WHEN {m} > {bound('upper_bound')} THEN '{high}' END")
-    names = ", ".join(f"'{s}'" for s in signals)
-    return f"SELECT cycle_id, signal_name, CASE WHEN missing_signal THEN ['missing_required_signal'] WHEN finite_sample_count <= 0 THEN ['no_finite_values'] ELSE list_filter([{', '.join(cases)}], lambda z: z IS NOT NULL) END AS r FROM qual q WHERE signal_name IN ({names})"
+    names = ", ".join(f"('{s}')" for s in signals)
+    grid = f"(SELECT g.cycle_id, g.signal_name, qual.* EXCLUDE (cycle_id, signal_name) FROM (SELECT cycle_id, s AS signal_name FROM cyc, (VALUES {names}) v(s)) g LEFT JOIN qual USING (cycle_id, signal_name)) q"
+    return f"SELECT cycle_id, signal_name, CASE WHEN coalesce(missing_signal, true) THEN ['missing_required_signal'] WHEN finite_sample_count <= 0 THEN ['no_finite_values'] ELSE list_filter([{', '.join(cases)}], lambda z: z IS NOT NULL) END AS r FROM {grid}"
 
 
 _VALID = f"""{_RULES}, core AS ({_check_sql("core", CONFIG.core)}), vib AS ({_check_sql("vibration", CONFIG.vibration)}),
 cr AS (SELECT cycle_id, flatten(list(list_transform(r, lambda z: signal_name || ':' || z) ORDER BY signal_name)) AS core_reasons FROM core GROUP BY 1), vb AS (SELECT cycle_id, bool_or(len(r) > 0) AS axis_bad FROM vib GROUP BY 1),
 b AS (SELECT max(lower_bound) FILTER (WHERE metric = 'cycle_duration_seconds') AS dl, max(upper_bound) FILTER (WHERE metric = 'cycle_duration_seconds') AS dh, max(lower_bound) FILTER (WHERE metric = 'position_stroke_range') AS sl, max(upper_bound) FILTER (WHERE metric = 'position_stroke_range') AS sh FROM ru WHERE scope = 'cycle'),
-hard AS (SELECT cycle_id, cyc.session_id, list_filter([CASE WHEN start_time >= end_time THEN 'invalid_cycle_interval' END, CASE WHEN duration_seconds <= 0 THEN 'duration_below_lower_bound' END, CASE WHEN duration_seconds < dl THEN 'duration_below_lower_bound' END, CASE WHEN duration_seconds > dh THEN 'duration_above_upper_bound' END, CASE WHEN position_stroke_range < sl THEN 'position_stroke_out_of_range' END, CASE WHEN position_stroke_range > sh THEN 'position_stroke_out_of_range' END], lambda z: z IS NOT NULL) AS h FROM cyc JOIN prof USING (cycle_id), b),
+hard AS (SELECT cycle_id, cyc.session_id, list_filter([CASE WHEN start_time >= end_time THEN 'invalid_cycle_interval' END, CASE WHEN duration_seconds <= 0 THEN 'duration_below_lower_bound' END, CASE WHEN duration_seconds < dl THEN 'duration_below_lower_bound' END, CASE WHEN duration_seconds > dh THEN 'duration_above_upper_bound' END, CASE WHEN position_stroke_range < sl THEN 'position_stroke_out_of_range' END, CASE WHEN position_stroke_range > sh THEN 'position_stroke_out_of_range' END], lambda z: z IS NOT NULL) AS h FROM cyc LEFT JOIN prof USING (cycle_id), b),
 val AS (SELECT cycle_id, session_id, vibration_class, array_to_string(list_concat(list_concat(h, core_reasons), CASE WHEN vibration_class <> 'vibration_complete' THEN [vibration_class] ELSE [] END), ',') AS reasons, CASE WHEN len(h) + len(core_reasons) > 0 THEN 'invalid_cycle' WHEN vibration_class = 'vibration_complete' AND NOT axis_bad THEN 'valid_complete_multisensor_cycle' ELSE 'valid_core_cycle' END AS final_class FROM hard JOIN cr USING (cycle_id) JOIN cls USING (cycle_id) JOIN vb USING (cycle_id))"""
 
 

@@ -63,15 +63,11 @@ def contains_folded(c: str | Column, text: str) -> Column:
 
 
 def uuid_text(c: str | Column) -> Column:
-    """A UUID as lower-case text, from text or from 16 bytes."""
-    h = F.lower(F.hex(col(c).cast("binary")))
-    dashed = F.regexp_replace(h, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
-    return F.when(F.octet_length(col(c).cast("binary")) == 16, dashed).otherwise(F.lower(col(c).cast("string")))
-
-
-def reasons(*codes: Column) -> Column:
-    """Comma-joined codes; null ones are left out."""
-    return F.concat_ws(",", F.array(*codes))
+    """A UUID as lower-case text: a binary column of 16 bytes as digits with dashes, text as it is, whatever its length."""
+    c = col(c)
+    dashed = F.regexp_replace(F.lower(F.hex(c.cast("binary"))), r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    raw = (F.typeof(c) == "binary") & (F.octet_length(c.cast("binary")) == 16)
+    return F.when(raw, dashed).otherwise(F.lower(c.cast("string")))
 
 
 def pad_edge(values: str | Column, length: int) -> Column:

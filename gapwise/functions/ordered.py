@@ -1,8 +1,11 @@
 """Ordered-sequence primitives in two levels, so one long signal is never one task.
 
-A window over a whole signal puts all its rows into one task.  Here each signal is cut into time buckets: windows
-run inside a bucket, and a small table with one row per bucket carries values across.  Results equal the plain
+A window over a whole signal puts all its rows into one task.  Here each signal is cut into time buckets: one window
+pass runs inside a bucket, and a small table with one row per bucket carries values across.  Results equal the plain
 window for any bucket width.
+
+Edge cases: null keys are a sequence of their own, rows with a null time form the first bucket of theirs; an empty table gives an
+empty result; inner columns take names that the caller's table does not have.
 """
 
 from __future__ import annotations
@@ -15,43 +18,67 @@ from .expr import col
 BUCKET = "DAY"
 
 
-def _bucketed(df: DataFrame, time: str, bucket: str) -> DataFrame:
-    return df.withColumn("__b", F.date_trunc(bucket, F.col(time)))
-
+def free_name(taken: list[str], stem: str) -> str:
+    """A column name that is not taken."""
+    low = {c.lower() for c in taken}
+    while stem.lower() in low:
+        stem += "_"
+    return stem
 
-def previous(df: DataFrame, keys: list[str], order: list[str], cols: dict[str, str | Column], bucket: str = BUCKET) -> DataFrame:
-    """Adds, under the names in ``cols``, the values of the row before, by ``order`` (first a timestamp, then tie-breakers)."""
-    df = _bucketed(df, order[0], bucket)
-    value = F.struct(*[col(c).alias(n) for n, c in cols.items()])
-    by = [*keys, "__b"]
-    last = df.groupBy(*by).agg(F.max_by(value, F.struct(*order)).alias("__last"))
-    w = Window.partitionBy(*keys).orderBy("__b") if keys else Window.orderBy("__b")
-    carried = last.select(*by, F.lag("__last").over(w).alias("__carried"))
-    inner = F.lag(value).over(Window.partitionBy(*by).orderBy(*order))
-    joined = _join(df.withColumn("__inner", inner), carried, by)
-    prev = F.coalesce("__inner", "__carried")
-    return joined.select(*[c for c in df.columns if c != "__b"], *[prev[n].alias(n) for n in cols])
 
+def scan(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    prev: dict[str, str | Column] | None = None,
+    sums: dict[str, Column] | None = None,
+    bucket: str = BUCKET,
+) -> DataFrame:
+    """Adds the values in ``prev`` of the row before and the inclusive running sums in ``sums``, in one pass.
 
-def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str | Column, name: str, bucket: str = BUCKET) -> DataFrame:
-    """Adds the inclusive running sum of ``value`` by ``order``."""
-    df = _bucketed(df, order[0], bucket).withColumn("__v", col(value))
-    by = [*keys, "__b"]
-    w = (Window.partitionBy(*keys) if keys else Window).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    before = df.groupBy(*by).agg(F.sum("__v").alias("__s")).select(*by, F.coalesce(F.sum("__s").over(w), F.lit(0)).alias("__before"))
-    inner = F.sum("__v").over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    joined = _join(df.withColumn("__in", inner), before, by)
-    return joined.select(*[c for c in df.columns if c not in ("__b", "__v")], (F.col("__before") + F.col("__in")).alias(name))
+    ``order`` is a timestamp, then tie-breakers.  A sum's column may use the names in ``prev``; nulls add nothing.  One shuffle by
+    (keys, bucket) serves both the rows and the buckets' summaries: first row, last values and sums of what lies between.
+    """
+    prev, sums = prev or {}, sums or {}
+    own = df.columns
+    taken = [*own, *prev, *sums]
+    b, lag, head, last = (free_name(taken, f"__{x}") for x in ("bucket", "lag", "head", "last"))
+    inner = {n: free_name(taken, f"__in_{n}") for n in sums}
+    base = {n: free_name(taken, f"__base_{n}") for n in sums}
+    by, place = [*keys, b], F.struct(*order)
+    value = F.struct(F.lit(True).alias("seen"), *[col(c).alias(n) for n, c in prev.items()])
+    cut = df.withColumn(b, F.date_trunc(bucket, F.col(order[0])))
+    w = Window.partitionBy(*by).orderBy(*order)
+    rows = cut.withColumn(lag, F.lag(value).over(w))
+    follows = F.col(f"{lag}.seen").isNotNull()
+    rows = rows.select("*", *[F.col(lag)[n].alias(n) for n in prev])
+    rows = rows.select("*", *[F.when(follows, F.coalesce(c, F.lit(0))).alias(inner[n]) for n, c in sums.items()])
 
+    ends = rows.groupBy(*by).agg(
+        F.min_by(F.struct(*[F.col(c) for c in own]), place).alias(head), F.max_by(value, place).alias(last), *[F.coalesce(F.sum(inner[n]), F.lit(0)).alias(inner[n]) for n in sums]
+    )
+    across = Window.partitionBy(*keys).orderBy(b) if keys else Window.orderBy(b)
+    ends = ends.withColumn(lag, F.lag(last).over(across))
+    ends = ends.select(*[F.col(head)[c].alias(c) for c in own], F.col(b), lag, *inner.values(), *[F.col(lag)[n].alias(n) for n in prev])
+    ends = ends.select("*", *[F.coalesce(c, F.lit(0)).alias(base[n]) for n, c in sums.items()])
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    starts = [(F.col(base[n]) + F.coalesce(F.sum(F.col(base[n]) + F.col(inner[n])).over(before), F.lit(0))).alias(base[n]) for n in sums]
+    ends = ends.select(*by, *[F.col(n).alias(free_name(taken, f"__from_{n}")) for n in prev], *starts)
 
-def row_index(df: DataFrame, keys: list[str], order: list[str], name: str, bucket: str = BUCKET) -> DataFrame:
-    """Adds the 0-based place of each row in its sequence."""
-    return running_sum(df, keys, order, F.lit(1), name, bucket).withColumn(name, (F.col(name) - 1).cast("long"))
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select(*own, b, lag, *prev, *[F.coalesce(F.sum(inner[n]).over(running), F.lit(0)).alias(inner[n]) for n in sums])
+    joined = _join(rows, ends, by)
+    follows = F.col(f"{lag}.seen").isNotNull()
+    return joined.select(
+        *own,
+        *[F.when(follows, F.col(n)).otherwise(F.col(free_name(taken, f"__from_{n}"))).alias(n) for n in prev],
+        *[(F.col(base[n]) + F.col(inner[n])).alias(n) for n in sums],
+    )
 
 
 def _join(df: DataFrame, small: DataFrame, by: list[str]) -> DataFrame:
     """Left join on the bucket; null keys are a sequence of their own."""
-    names = {c: f"__k{i}" for i, c in enumerate(by)}
+    names = {c: free_name([*df.columns, *small.columns], f"__key{i}") for i, c in enumerate(by)}
     small = small.withColumnsRenamed(names)
     on = None
     for c, n in names.items():

@@ -21,8 +21,9 @@ def revenue_by_nation(spark, d):
     return out.groupBy("n_name").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
 
 
-def customers_without_orders(spark, d):
-    return _t(spark, d, "customer").join(_t(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+def customers_without_large_orders(spark, d):
+    large = _t(spark, d, "orders").where("o_totalprice > 300000")
+    return _t(spark, d, "customer").join(large, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
 def segments_with_large_orders(spark, d):
@@ -52,8 +53,9 @@ def shared_nations(spark, d):
     return c.intersect(_t(spark, d, "supplier").select(F.col("s_nationkey").alias("nationkey")))
 
 
-def nations_without_suppliers(spark, d):
-    return _t(spark, d, "nation").select(F.col("n_nationkey").alias("nationkey")).exceptAll(_t(spark, d, "supplier").select(F.col("s_nationkey").alias("nationkey")).distinct())
+def nations_without_rich_suppliers(spark, d):
+    rich = _t(spark, d, "supplier").where("s_acctbal > 5000")
+    return _t(spark, d, "nation").select(F.col("n_nationkey").alias("nationkey")).exceptAll(rich.select(F.col("s_nationkey").alias("nationkey")).distinct())
 
 
 def top_orders_per_segment(spark, d):
@@ -67,12 +69,18 @@ _REV = "round(sum(l_extendedprice * (1 - l_discount)), 2)"
 CATALOGUE = {
     "pricing_summary": (pricing_summary, f"SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, {_REV} AS sum_disc_price, round(avg(l_discount), 6) AS avg_disc, count(*) AS count_order FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2"),
     "revenue_by_nation": (revenue_by_nation, f"SELECT n_name, {_REV} AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1"),
-    "customers_without_orders": (customers_without_orders, "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)"),
+    "customers_without_large_orders": (
+        customers_without_large_orders,
+        "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)",
+    ),
     "segments_with_large_orders": (segments_with_large_orders, "SELECT c_mktsegment, count(*) AS customers FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000) GROUP BY 1"),
     "suppliers_and_customers": (suppliers_and_customers, "SELECT coalesce(s.k, c.k) AS nationkey, suppliers, customers FROM (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier GROUP BY 1) s FULL JOIN (SELECT c_nationkey AS k, count(*) AS customers FROM customer WHERE c_acctbal > 9000 GROUP BY 1) c ON s.k = c.k"),
     "sales_cube": (sales_cube, "SELECT coalesce(o_orderstatus, 'all') AS o_orderstatus, coalesce(o_orderpriority, 'all') AS o_orderpriority, count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)"),
     "sales_rollup": (sales_rollup, "SELECT coalesce(CAST(y AS VARCHAR), 'all') AS y, coalesce(o_orderstatus, 'all') AS o_orderstatus, count(*) AS orders FROM (SELECT year(o_orderdate) AS y, o_orderstatus FROM orders) GROUP BY ROLLUP (y, o_orderstatus)"),
     "shared_nations": (shared_nations, "SELECT c_nationkey AS nationkey FROM customer WHERE c_acctbal > 9900 INTERSECT SELECT s_nationkey FROM supplier"),
-    "nations_without_suppliers": (nations_without_suppliers, "SELECT n_nationkey AS nationkey FROM nation EXCEPT SELECT s_nationkey FROM supplier"),
+    "nations_without_rich_suppliers": (
+        nations_without_rich_suppliers,
+        "SELECT n_nationkey AS nationkey FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000",
+    ),
     "top_orders_per_segment": (top_orders_per_segment, "SELECT c_mktsegment, CAST(row_number() OVER w AS INTEGER) AS place, o_orderkey, round(o_totalprice, 2) AS o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey WINDOW w AS (PARTITION BY c_mktsegment ORDER BY o_totalprice DESC, o_orderkey) QUALIFY row_number() OVER w <= 3"),
 }

@@ -1,4 +1,8 @@
-"""Availability classes, learned validation rules, and validation against frozen rules."""
+"""Availability classes, learned and hard validation rules, and validation against frozen rules.
+
+Edge cases: a signal that a cycle lacks, or that no cycle has, is missing there; metrics that are null or not finite are not learned
+from and not checked; with no cycles every table is empty but that of the hard rules; repeated rows count as often as they occur.
+"""
 
 from __future__ import annotations
 
@@ -10,14 +14,23 @@ from pyspark.sql import functions as F
 from ..functions.expr import finite
 
 #: The metrics that rules are learned for.
-SIGNAL_METRICS = ("sample_count", "finite_sample_count", "coverage_ratio", "estimated_sampling_rate", "median_sampling_interval", "maximum_timestamp_gap", "signal_range", "standard_deviation")
+SIGNAL_METRICS = (
+    "sample_count",
+    "finite_sample_count",
+    "estimated_sampling_rate",
+    "median_sampling_interval",
+    "maximum_timestamp_gap",
+    "coverage_ratio",
+    "signal_range",
+    "standard_deviation",
+)
 CYCLE_METRICS = ("cycle_duration_seconds", "position_stroke_range")
 #: Metric, applies below, applies above, reason below, reason above.
 CHECKS = (
     ("sample_count", True, True, "sample_count_below_lower_bound", "sample_count_above_upper_bound"),
     ("finite_sample_count", True, True, "sample_count_below_lower_bound", "sample_count_above_upper_bound"),
     ("coverage_ratio", True, False, "coverage_below_lower_bound", None),
-    ("maximum_timestamp_gap", False, True, None, "timestamp_gap_above_upper_bound"),
+    ("maximum_timestamp_gap", False, True, None, "maximum_gap_above_upper_bound"),
     ("signal_range", True, True, "signal_range_below_lower_bound", "signal_range_above_upper_bound"),
 )
 
@@ -105,14 +118,22 @@ def signal_validation(quality: DataFrame, cycles: DataFrame, rules: DataFrame, c
     spark = quality.sparkSession
     names = spark.createDataFrame([(s,) for s in signals], "signal_name string")
     bounds = rules.where((F.col("scope") == scope) & (F.col("status") == "learned")).groupBy("signal_name").agg(
-        *[F.max(F.when(F.col("metric") == m, F.col(b))).alias(f"{m}__{b}") for m, *_ in CHECKS for b in ("lower_bound", "upper_bound")]
+        *[F.max(F.when(F.col("metric") == m, F.col(b))).alias(f"{m}__{b}") for m, *_ in CHECKS for b in ("lower_bound", "upper_bound", "status")]
     )
+    if not config.allow_provisional and "provisional" in rules.columns:  # a provisional rule exists, but does not apply to signals
+        off = rules.where("provisional").select("signal_name").distinct().withColumn("__off", F.lit(True))
+        bounds = bounds.join(F.broadcast(off), "signal_name", "left")
+        for m, *_ in CHECKS:
+            for b in ("lower_bound", "upper_bound"):
+                bounds = bounds.withColumn(f"{m}__{b}", F.when(F.col("__off").isNull(), F.col(f"{m}__{b}")))
+        bounds = bounds.drop("__off")
     grid = cycles.select("cycle_id").crossJoin(F.broadcast(names)).join(quality, ["cycle_id", "signal_name"], "left").join(F.broadcast(bounds), "signal_name", "left")
     checks = []
     for m, below, above, low, high in CHECKS:
         checks += _out(m, f"{m}__lower_bound", f"{m}__upper_bound", below, above, low, high)
         if config.require_rules:
-            checks.append(F.when(F.col(f"{m}__lower_bound").isNull(), "rule_not_generated"))
+            none = F.col(m).isNotNull() & ~F.isnan(F.col(m).cast("double")) & F.col(f"{m}__status").isNull()
+            checks.append(F.when(none, "rule_not_generated"))
     missing = F.col("missing_signal").isNull() | F.col("missing_signal")
     none = F.coalesce(F.col("finite_sample_count"), F.lit(0)) <= 0
     found = F.when(missing, F.array(F.lit("missing_required_signal"))).when(none, F.array(F.lit("no_finite_values"))).otherwise(F.array_compact(F.array(*checks)))

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.expr import finite, micros
 from .temporal import interval_join
 
+#: Fixed value: the reason of a required signal whose samples are all null or not finite.
+NON_FINITE = "non_finite_required_signal"
+
 
 def window_counts(samples: DataFrame, cycles: DataFrame, signals: list[str]) -> DataFrame:
     """Per cycle, sample and finite counts of each required signal."""
@@ -41,7 +44,7 @@ def first_block(blocks: DataFrame, block: int) -> DataFrame:
 def candidate_evaluation(counted: DataFrame, signals: list[str], minimum: int) -> DataFrame:
     """Adds eligible and rejection_reasons: an interval code alone, else the first failing code of each signal in order."""
     codes = [
-        F.when(F.col(f"{s}_sample_count") == 0, f"missing_{s}").when(F.col(f"{s}_sample_count") < minimum, f"insufficient_{s}_samples").when(F.col(f"{s}_finite_count") == 0, f"non_finite_{s}")
+        F.when(F.col(f"{s}_sample_count") == 0, f"missing_{s}").when(F.col(f"{s}_sample_count") < minimum, f"insufficient_{s}_samples").when(F.col(f"{s}_finite_count") == 0, NON_FINITE)
         for s in signals
     ]
     reasons = F.when(F.col("start_time") >= F.col("end_time"), "invalid_cycle_interval").otherwise(F.concat_ws(",", F.array(*codes)))

@@ -1,15 +1,21 @@
 """Gaps, sessions, bursts, edges, cycles, interval joins and nearest values over time-ordered samples.
 
 Every operator takes the sequence's key columns; an empty list is one sequence.  Order is time, then the tie-breakers.
+
+Edge cases, for all of them: an empty table gives an empty result (the summaries of gaps and sessions one row of zero counts and nulls);
+equal times keep the order of the tie-breakers and have a gap of zero; rows that repeat stay apart; null values never move and null times
+have no gap (``clean`` drops both).  ``interval_join`` keeps the windows' column where a sample's has the same name.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import micros, number, seconds
-from ..functions.ordered import previous, row_index, running_sum
+from ..functions.ordered import scan
 
 #: Seconds above which gaps are counted.
 GAP_THRESHOLDS = (1, 5, 10, 30, 60, 300, 900, 1800, 3600, 21600, 86400)
@@ -17,8 +23,7 @@ GAP_THRESHOLDS = (1, 5, 10, 30, 60, 300, 900, 1800, 3600, 21600, 86400)
 
 def gaps(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Adds prev_time and gap_us, the whole microseconds since the sample before (null for the first)."""
-    out = previous(df, keys, order, {"prev_time": order[0]})
-    return out.withColumn("gap_us", micros("prev_time", order[0]))
+    return scan(df, keys, order, {"prev_time": order[0]}).withColumn("gap_us", micros("prev_time", order[0]))
 
 
 def gap_histogram(gapped: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -61,9 +66,10 @@ def gap_bins(histogram: DataFrame, bins: int, top_seconds: float, log: bool = Fa
 
 def session_ids(df: DataFrame, keys: list[str], order: list[str], gap_seconds: float, first: int = 1, name: str = "session_id") -> DataFrame:
     """Adds gap_us and a running id that grows wherever the gap exceeds the threshold."""
-    gapped = gaps(df, keys, order)
-    new = F.coalesce((F.col("gap_us") > int(gap_seconds * 1_000_000)).cast("int"), F.lit(0))
-    return running_sum(gapped, keys, order, new, name).withColumn(name, (F.col(name) + first).cast("bigint"))
+    gap = micros("prev_time", order[0])
+    new = (gap > int(gap_seconds * 1_000_000)).cast("int")
+    out = scan(df, keys, order, {"prev_time": order[0]}, {name: new})
+    return out.withColumns({"gap_us": gap, name: (F.col(name) + first).cast("bigint")})
 
 
 def sessions(df: DataFrame, keys: list[str], order: list[str], gap_seconds: float = 3600.0) -> DataFrame:
@@ -92,13 +98,24 @@ def bursts(df: DataFrame, keys: list[str], order: list[str], gap_seconds: float)
     return session_ids(df, keys, order, gap_seconds, first=0, name="burst_id")
 
 
-def edges(df: DataFrame, keys: list[str], order: list[str], threshold: float = 1.0, value: str = "value") -> DataFrame:
-    """Adds moving, rising and falling; a sequence's first sample is neither."""
+def _moving(df: DataFrame, threshold: float, value: str) -> DataFrame:
     if threshold < 0:
         raise ValueError("the movement threshold must not be negative")
-    moving = df.withColumn("moving", F.col(value) > F.lit(float(threshold)))
-    out = previous(moving, keys, order, {"__was": "moving"})
-    return out.withColumns({"rising": F.coalesce(F.col("moving") & ~F.col("__was"), F.lit(False)), "falling": F.coalesce(~F.col("moving") & F.col("__was"), F.lit(False))}).drop("__was")
+    return df.withColumn("moving", F.col(value) > F.lit(float(threshold)))
+
+
+def _rising():
+    return F.coalesce(F.col("moving") & ~F.col("__was"), F.lit(False))
+
+
+def _falling():
+    return F.coalesce(~F.col("moving") & F.col("__was"), F.lit(False))
+
+
+def edges(df: DataFrame, keys: list[str], order: list[str], threshold: float = 1.0, value: str = "value") -> DataFrame:
+    """Adds moving, rising and falling; a sequence's first sample is neither."""
+    out = scan(_moving(df, threshold, value), keys, order, {"__was": "moving"})
+    return out.withColumns({"rising": _rising(), "falling": _falling()}).drop("__was")
 
 
 def clean(df: DataFrame, time: str = "time", value: str = "value") -> DataFrame:
@@ -106,21 +123,35 @@ def clean(df: DataFrame, time: str = "time", value: str = "value") -> DataFrame:
     return df.withColumn(value, number(value)).where(F.col(time).isNotNull() & F.col(value).isNotNull())
 
 
-def cycles(df: DataFrame, keys: list[str], order: list[str], threshold: float = 1.0, value: str = "value") -> DataFrame:
+def cycles(df: DataFrame, keys: list[str], order: list[str], threshold: float = 1.0, value: str = "value", hold=None) -> DataFrame:
     """Candidate cycles of each sequence: from a rising edge to the next falling edge, which belongs to it.
 
-    Movement that a sequence begins or ends with is no cycle.  Cycles are numbered over all sequences, by keys and start.
+    Movement that a sequence begins or ends with is no cycle.  Cycles are numbered over all sequences, by keys and start: only
+    a sequence's last movement may lack its falling edge, so the running number of rising edges is a cycle's place in its sequence, and
+    one row a sequence carries the numbers across.  ``hold`` may store the cycles, one row each, before they are numbered.
     """
     time = order[0]
-    marked = row_index(edges(df, keys, order, threshold, value), keys, order, "__i")
-    marked = running_sum(marked, keys, order, F.col("rising").cast("int"), "__c")
+    marked = _moving(df, threshold, value)
+    marked = scan(marked, keys, order, {"__was": "moving"}, {"__i": F.lit(1), "__c": _rising().cast("int")})
+    marked = marked.withColumn("falling", _falling())
     inside = marked.where((F.col("__c") > 0) & (F.col("moving") | F.col("falling")))
     out = inside.groupBy(*keys, "__c").agg(
-        F.min("__i").alias("start_index"), F.max("__i").alias("end_index"), F.min(time).alias("start_time"), F.max(time).alias("end_time"), F.count("*").alias("number_of_samples"),
+        (F.min("__i") - 1).alias("start_index"), (F.max("__i") - 1).alias("end_index"), F.min(time).alias("start_time"), F.max(time).alias("end_time"), F.count("*").alias("number_of_samples"),
         F.min(value).alias("minimum_position"), F.max(value).alias("maximum_position"), F.avg(value).alias("mean_position"), F.max("falling").alias("__whole"),
-    ).where("__whole")
-    number_ = F.row_number().over(Window.orderBy(*keys, "start_time", "__c")).cast("bigint")
-    return out.withColumn("cycle_id", number_).select(*keys, "cycle_id", "start_index", "end_index", "start_time", "end_time", seconds("start_time", "end_time").alias("duration_seconds"), "number_of_samples", "minimum_position", "maximum_position", "mean_position")
+    ).where("__whole").drop("__whole")
+    out = hold(out) if hold else out
+    number_ = F.col("__c")
+    if keys:
+        ranks = out.groupBy(*keys).agg(F.count("*").alias("__n"))
+        before = F.coalesce(F.sum("__n").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        names = {k: f"__k{i}" for i, k in enumerate(keys)}
+        ranks = ranks.select(*[F.col(k).alias(n) for k, n in names.items()], before.alias("__before"))
+        on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+        out, number_ = out.join(ranks, on), F.col("__before") + F.col("__c")
+    return out.select(
+        *keys, number_.cast("bigint").alias("cycle_id"), "start_index", "end_index", "start_time", "end_time", seconds("start_time", "end_time").alias("duration_seconds"),
+        "number_of_samples", "minimum_position", "maximum_position", "mean_position",
+    )
 
 
 def interval_join(samples: DataFrame, windows: DataFrame, time: str = "time", start: str = "start_time", end: str = "end_time", bucket_seconds: int = 3600, keys: list[str] | None = None) -> DataFrame:
@@ -158,33 +189,38 @@ def merge_intervals(df: DataFrame, keys: list[str], gap_seconds: float, start: s
     return out.groupBy(*keys, "__island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("intervals")).drop("__island")
 
 
-def nearest(points: DataFrame, samples: DataFrame, at: str, time: str = "time", value: str = "value", bucket: str = "DAY", point_key: str = "point_id") -> DataFrame:
+def nearest(points: DataFrame, samples: DataFrame, at: str, time: str = "time", value: str = "value", bucket: str = "DAY") -> DataFrame:
     """For each point the sample nearest in time, the earlier of two as near; adds nearest_time and nearest_value.
 
-    Points and samples are merged into one sequence; the last sample before and the first after reach each point
-    through time buckets, so the table is never sorted as a whole.
+    Points and samples are merged into one sequence, each point with its whole row, so repeated points stay apart; the last
+    sample before and the first after reach each point through time buckets, so the table is never sorted as a whole.  Points
+    without a time, and all points where there are no samples, get nulls.
     """
-    both = points.select(F.col(at).alias("__t"), F.lit(1).alias("__p"), F.col(point_key).alias("__id"), F.lit(None).cast("struct<t:timestamp_ntz,v:double>").alias("__s"))
-    both = both.unionByName(samples.select(F.col(time).alias("__t"), F.lit(0).alias("__p"), F.lit(None).cast(points.schema[point_key].dataType).alias("__id"), F.struct(F.col(time).alias("t"), F.col(value).cast("double").alias("v")).alias("__s")))
-    both = both.withColumn("__b", F.date_trunc(bucket, "__t"))
-    ends = both.where("__p = 0").groupBy("__b").agg(F.max("__s").alias("__hi"), F.min("__s").alias("__lo"))
-    buckets = both.select("__b").distinct().join(ends, "__b", "left")
-    w = Window.orderBy("__b")
-    carried = buckets.select(F.col("__b"), F.last("__hi", True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"), F.first("__lo", True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("__after"))
-    inner = Window.partitionBy("__b").orderBy("__t", "__p")
-    both = both.withColumn("__x", F.last("__s", True).over(inner.rowsBetween(Window.unboundedPreceding, 0)))
-    both = both.withColumn("__y", F.first("__s", True).over(inner.rowsBetween(1, Window.unboundedFollowing)))
-    found = both.where("__p = 1").join(carried, "__b", "left").select("__id", "__t", F.coalesce("__x", "__before").alias("x"), F.coalesce("__y", "__after").alias("y"))
-    pick = F.when(F.col("x").isNull(), F.col("y")).when(F.col("y").isNull(), F.col("x")).when(micros("x.t", "__t") <= micros("__t", "y.t"), F.col("x")).otherwise(F.col("y"))
-    found = found.select("__id", pick.alias("s")).select(F.col("__id").alias(point_key), F.col("s.t").alias("nearest_time"), F.col("s.v").alias("nearest_value"))
-    return points.join(found, point_key)
+    row = F.struct(*[F.col(c) for c in points.columns])
+    kind = "struct<t:timestamp_ntz,v:double>"
+    asked = points.select(F.col(at).alias("t"), F.lit(1).alias("p"), row.alias("row"), F.lit(None).cast(kind).alias("s"))
+    known = F.struct(F.col(time).alias("t"), F.col(value).cast("double").alias("v")).cast(kind)
+    given = samples.where(F.col(time).isNotNull()).select(F.col(time).alias("t"), F.lit(0).alias("p"), F.lit(None).cast(asked.schema["row"].dataType).alias("row"), known.alias("s"))
+    both = asked.unionByName(given).withColumn("b", F.date_trunc(bucket, "t"))
+    ends = both.groupBy("b").agg(F.max("s").alias("hi"), F.min("s").alias("lo"))
+    w = Window.orderBy("b")  # one row a bucket
+    before, after = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    ends = ends.select(F.col("b").alias("bb"), F.last("hi", True).over(before).alias("before"), F.first("lo", True).over(after).alias("after"))
+    inner = Window.partitionBy("b").orderBy("t", "p")
+    both = both.withColumn("x", F.last("s", True).over(inner.rowsBetween(Window.unboundedPreceding, 0)))
+    both = both.withColumn("y", F.first("s", True).over(inner.rowsBetween(1, Window.unboundedFollowing)))
+    found = both.where("p = 1").join(ends, F.col("b") == F.col("bb"), "left")
+    found = found.select("row", "t", F.coalesce("x", "before").alias("x"), F.coalesce("y", "after").alias("y"))
+    earlier = micros("x.t", "t") <= micros("t", "y.t")
+    pick = F.when(F.col("t").isNull(), None).when(F.col("x").isNull(), F.col("y")).when(F.col("y").isNull() | earlier, F.col("x")).otherwise(F.col("y"))
+    return found.select("row", pick.alias("s")).select("row.*", F.col("s.t").alias("nearest_time"), F.col("s.v").alias("nearest_value"))
 
 
 def evenly_spaced(df: DataFrame, order: list[str], rows: int) -> DataFrame:
     """At most so many rows, evenly spaced in order, both ends among them."""
     if rows < 2:
         raise ValueError("at least two rows")
-    indexed = row_index(df, [], order, "__i")
+    indexed = scan(df, [], order, sums={"__i": F.lit(1)}).withColumn("__i", F.col("__i") - 1)
     total = F.broadcast(df.agg(F.count("*").alias("__n")))
     n, i = F.col("__n"), F.col("__i")
     k = F.floor((i * (rows - 1) + F.greatest(n - 2, F.lit(0))) / F.greatest(n - 1, F.lit(1)))

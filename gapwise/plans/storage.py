@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder.  Where the session names none, a local session gets a temporary one; a cluster raises."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="gapwise-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base}/{name}"
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Writes a table and reads it back: what follows sees fixed rows."""
+    """Writes a table and reads it back: what follows sees fixed rows and does not compute them again."""
     path = scratch(df.sparkSession, f"frozen-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

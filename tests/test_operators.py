@@ -45,11 +45,13 @@ def test_sessions_and_cycles(position):
 @pytest.mark.parametrize("bucket", ["SECOND", "HOUR", "YEAR"])
 def test_two_levels_equal_one(spark, bucket):
     df = spark.createDataFrame([(i % 3, at(i * i * 7 % 5000), i) for i in range(300)], "k int, time timestamp_ntz, v int")
-    got = ordered.running_sum(ordered.previous(df, ["k"], ["time", "v"], {"p": "v"}, bucket), ["k"], ["time", "v"], "v", "s", bucket)
+    got = ordered.scan(df, ["k"], ["time", "v"], {"p": "v"}, {"s": F.col("v"), "up": (F.col("v") > F.col("p") + 40).cast("int")}, bucket)
     from pyspark.sql import Window
 
     w = Window.partitionBy("k").orderBy("time", "v")
     want = df.withColumn("p", F.lag("v").over(w)).withColumn("s", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    want = want.withColumn("up", F.coalesce((F.col("v") > F.col("p") + 40).cast("int"), F.lit(0)))
+    want = want.withColumn("up", F.sum("up").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
