@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
 from .langid import remainder
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int, seed: str) -> tuple[pa.Array, list[int]]:
-    """Texts and labels of at most ``per_class`` documents of each class, each cut to ``max_chars`` for the fit.
+def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, seed: str) -> DataFrame:
+    """(h, y, text): the whole texts of ``per_class`` labelled documents of each class, of all where there are fewer; stored.
 
-    The choice depends on ids alone: the row with the least hash of each (class, bucket) of the labels table.
+    The choice depends on ids alone, the least hashes of each class among the documents that may be learned from.  A doc_id counts
+    once, with its least text; an id that is labelled both ways may be in both classes.
     """
-    rows = labels.where(F.col(label).isin(0, 1) & (remainder(3) != 1)).select("doc_id", F.col(label).cast("int").alias("y"), F.xxhash64("doc_id", F.lit(seed)).alias("h"))
-    chosen = rows.groupBy("y", F.pmod("h", F.lit(per_class)).alias("b")).agg(F.min(F.struct("h", "doc_id")).alias("m")).select("y", F.col("m.doc_id").alias("doc_id"))
-    texts = docs.select("doc_id", F.substring("text", 1, max_chars).alias("t")).where("t <> ''")
-    got = texts.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "y", "t").select("y", "t").collect()
-    return pa.array([r["t"] for r in got], pa.string()), [r["y"] for r in got]
+    rows = labels.where(F.col(label).isin(0, 1) & (remainder(3) != 1))
+    rows = rows.select("doc_id", F.col(label).cast("int").alias("y"), F.xxhash64("doc_id", F.lit(seed)).alias("h")).distinct()
+    rows = rows.join(docs.where("text <> ''").select("doc_id").distinct(), "doc_id", "left_semi")
+    place = F.row_number().over(Window.partitionBy("y").orderBy("h", "doc_id"))
+    chosen = rows.withColumn("place", place).where(F.col("place") <= per_class).drop("place")
+    texts = docs.select("doc_id", "text").where("text <> ''").join(F.broadcast(chosen), "doc_id")
+    return stored(texts.groupBy("doc_id", "y", "h").agg(F.min("text").alias("text")).select("h", "y", "text"), "labelled")
 
 
 def score(docs: DataFrame, model, threshold: float) -> DataFrame:

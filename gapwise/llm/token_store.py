@@ -4,9 +4,13 @@ Layout under one folder, all Parquet:
 
 * ``chunks``   (digest, n, ids): each distinct chunk once; ids are little-endian, 16 bits wide where the
   vocabulary fits, else 32; the digest is the SHA-256 of those bytes.
-* ``recipes``  (doc_id, row, n_tokens, recipe, leaf, part): one row per document in ascending doc_id order
-  (null first); the recipe lists chunk digests, lengths and the ids that follow, in order; the leaf is the SHA-256 of the digests.
-* ``manifest`` (part, root, docs, tokens): a Merkle root over the leaves of each recipe file.
+* ``recipes``  (doc_id, row, n_tokens, recipe, part, place): one row per document in ascending doc_id order
+  (null first), ``place`` in its part; the recipe lists chunk digests, lengths and the ids that follow, in order.
+* ``manifest`` (part, level, place, hash, docs, tokens): a Merkle tree over each part's documents.  A leaf (not stored) is the SHA-256 of a
+  document's id, length and recipe; a node hashes up to ``FANOUT`` neighbours of the level below; each part's last level is its root.
+
+Readers compute leaves and nodes again from the recipes and compare every node with the manifest, so a recipe that was altered, lost,
+added or moved raises; chunks are joined from the left, so a missing one raises too, as does one that does not match its digest or length.
 
 A rolling hash over the last ``WINDOW`` ids cuts streams into chunks, so equal passages give equal chunks
 wherever they stand.  Texts are tokenized once into a staging table; only one copy of a chunk per task carries
@@ -33,6 +37,8 @@ from .common import new_path, table
 from .textnp import crc_shift, mix64
 
 WINDOW, MEAN, LEAST, MOST = 16, 512, 128, 4096
+#: Children of a node of the Merkle tree.
+FANOUT = 64
 _STAGE = "doc_id long, row long, pos int, n int, after long, digest binary, ids binary"
 
 
@@ -118,17 +124,45 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0
     staged.where("ids IS NOT NULL").groupBy("digest").agg(F.first("n").alias("n"), F.first("ids").alias("ids")).write.option("compression", "zstd").parquet(f"{path}/chunks")
     recipes = staged.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("pos", "n", "after", "digest"))).alias("recipe"), F.sum("n").cast("long").alias("n_tokens"))
     recipes = recipes.withColumn("recipe", F.transform("recipe", lambda x: F.struct(x["digest"].alias("digest"), x["n"].alias("n"), x["after"].alias("after"))))
-    recipes = recipes.withColumn("leaf", F.sha2(F.array_join(F.transform("recipe", lambda x: F.hex(x["digest"])), "").cast("binary"), 256))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    recipes = recipes.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "row").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "row")
-    recipes.withColumn("part", F.spark_partition_id()).write.option("compression", "zstd").parquet(f"{path}/recipes")
-    kept = spark.read.parquet(f"{path}/recipes")
-    leaves = F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "row", "leaf"))), lambda x: x["leaf"])
-    kept.groupBy("part").agg(F.sha2(F.array_join(leaves, "").cast("binary"), 256).alias("root"), F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens")).write.parquet(f"{path}/manifest")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("row")]
+    recipes = recipes.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
+    recipes = recipes.withColumn("place", (F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1).cast("long"))
+    recipes.write.option("compression", "zstd").parquet(f"{path}/recipes")
+    tree(spark.read.parquet(f"{path}/recipes")).write.parquet(f"{path}/manifest")
     _drop(spark, f"{path}/staging")
     return path
 
 
+def tree(recipes: DataFrame) -> DataFrame:
+    """The Merkle nodes (part, level, place, hash, docs, tokens) over the documents of each part.
+
+    Every level is one aggregate of at most ``FANOUT`` hashes a group, so no node and no task gathers a part.
+    """
+    steps = F.transform("recipe", lambda x: F.concat_ws(",", F.hex(x["digest"]), x["n"], x["after"]))
+    text = F.concat_ws(";", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "row", "n_tokens", F.array_join(steps, ";"))
+    level = recipes.select("part", "place", F.sha2(text.cast("binary"), 256).alias("hash"), F.lit(1).cast("long").alias("docs"), F.col("n_tokens").alias("tokens"))
+    most, nodes, number = recipes.groupBy("part").agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0, None, 0
+    while number == 0 or most > 1:
+        number, most = number + 1, -(-most // FANOUT)
+        groups = level.groupBy("part", F.floor(F.col("place") / FANOUT).alias("place"))
+        hashes = F.transform(F.sort_array(F.collect_list(F.struct("place", "hash"))), lambda x: x["hash"])
+        level = groups.agg(F.sha2(F.array_join(hashes, "").cast("binary"), 256).alias("hash"), F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+        step = level.select("part", F.lit(number).alias("level"), "place", "hash", "docs", "tokens")
+        nodes = step if nodes is None else nodes.unionByName(step)
+    return nodes
+
+
+def verified(spark: SparkSession, path: str) -> DataFrame:
+    """The recipes of a store, after every node of their tree was found equal to the manifest's."""
+    recipes, kept = spark.read.parquet(f"{path}/recipes"), spark.read.parquet(f"{path}/manifest")
+    names = ["part", "level", "place", "hash", "docs", "tokens"]
+    both = tree(recipes).select(*names, F.lit(1).alias("side")).unionByName(kept.select(*names, F.lit(2).alias("side")))
+    if both.groupBy(*names).agg(F.sum("side").alias("s")).where("s <> 3").head(1):
+        raise ValueError("the recipes do not match the store's manifest")
+    return recipes
+
+
 def _drop(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
@@ -162,11 +196,12 @@ def id_width(path: str) -> int:
 
 
 def read_store(spark: SparkSession, path: str, width: int) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every stored document, from the chunks' own bytes."""
-    recipes, chunks = spark.read.parquet(f"{path}/recipes"), spark.read.parquet(f"{path}/chunks")
+    """doc_id, start, n_tokens, ids_crc32 of every stored document, from the chunks' own bytes; a damaged store raises."""
+    recipes, chunks = verified(spark, path), spark.read.parquet(f"{path}/chunks")
     summary = chunks.select("digest", "n", "ids").mapInArrow(_summaries(width), "digest binary, n int, crc long")
-    parts = recipes.select("row", F.explode("recipe").alias("x")).select("row", "x.digest", (4 * F.col("x.after")).alias("after"))
-    parts = parts.join(summary, "digest").select("row", "crc", "after", "n").mapInArrow(_shifted, "row long, crc long, n int")
+    parts = recipes.select("row", F.explode("recipe").alias("x")).select("row", "x.digest", F.col("x.n").alias("size"), (4 * F.col("x.after")).alias("after"))
+    whole = F.when(F.col("n") == F.col("size"), F.col("n")).otherwise(F.raise_error(F.lit("a stored chunk is missing or has another length")).cast("int"))
+    parts = parts.join(summary, "digest", "left").select("row", "crc", "after", whole.alias("n")).mapInArrow(_shifted, "row long, crc long, n int")
     sums = parts.groupBy("row").agg(F.bit_xor("crc").alias("ids_crc32"), F.sum("n").alias("n_tokens"))
     starts = recipes.groupBy("part").agg(F.sum("n_tokens").alias("__s"))
     starts = starts.select("part", F.coalesce(F.sum("__s").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
@@ -177,9 +212,16 @@ def read_store(spark: SparkSession, path: str, width: int) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, row and the id bytes of every document, rebuilt from its recipe."""
-    steps = spark.read.parquet(f"{path}/recipes").select("doc_id", "row", F.posexplode("recipe").alias("pos", "x")).select("doc_id", "row", "pos", "x.digest")
-    whole = steps.join(spark.read.parquet(f"{path}/chunks").select("digest", "ids"), "digest").groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("p"))
+    """doc_id, row and the id bytes of every document, rebuilt from its recipe; a damaged store raises.
+
+    One value holds a whole document, as its text did.
+    """
+    steps = verified(spark, path).select("doc_id", "row", F.posexplode("recipe").alias("pos", "x")).select("doc_id", "row", "pos", "x.digest")
+    chunks = spark.read.parquet(f"{path}/chunks").select("digest", "ids")
+    good = F.unhex(F.sha2("ids", 256)) == F.col("digest")
+    sound = F.when(good, F.col("ids")).otherwise(F.raise_error(F.lit("a stored chunk is missing or does not match its digest")).cast("binary"))
+    whole = steps.join(chunks, "digest", "left").withColumn("ids", sound)
+    whole = whole.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("p"))
     return whole.select("doc_id", "row", F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"))
 
 

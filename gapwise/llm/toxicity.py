@@ -5,10 +5,12 @@ embeddings.  A document is the average of its n-grams' embeddings, a word that r
 are trained together, so a misspelling the fit never saw still shares most n-gram vectors with what it
 imitates.  For scoring, embeddings and softmax fold into one weight per bucket: the same number, one lookup.
 
-The fit uses at most ``per_class`` labelled documents of each class, ``max_chars`` characters each; scoring reads
-every whole text in one map without a shuffle.  Edge cases: null and empty texts get the score of an
-empty bag, which is the prior pulled below the threshold; without labels of both classes every score is 0;
-repeated rows get equal scores; other columns are ignored.
+The fit reads the whole texts of ``PER_CLASS`` labelled documents of each class (all where there are fewer) and turns them into
+bags in tasks.  Of every clean one a short run of words is learned as a clean text of its own, n-grams
+of fewer than ``LEAST`` documents are not learned, and ``SHRINK`` pulls small bags to the prior, so a few harmless words stay below the
+threshold.  Scoring reads every whole text in one map without a shuffle.  Edge cases: null and empty texts get the score of an
+empty bag, which is below the threshold; without labels of both classes every score is 0; labels that are neither 0 nor 1
+are left out; repeated rows and ties get equal scores; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,11 +24,14 @@ from .common import table
 from .textnp import _SEP, Slice, slices
 
 ORDERS, BITS, DIM = (3, 4, 5, 6), 18, 8
-PER_CLASS, MAX_CHARS, EPOCHS, RATE, SEED = 1500, 12_000, 8, 0.5, 11
-STEPS = 16_000
+PER_CLASS, EPOCHS, RATE, SEED = 1500, 12, 0.2, 11
+#: Words of the longest short run.
+RUN = 24
 THRESHOLD = 0.7
 #: So many n-grams of no meaning are added to every average: short bags stay near the prior.
-SHRINK = 60
+SHRINK = 300
+#: Of the fit's documents so many at least must hold an n-gram that is learned; a chance one says nothing.
+LEAST = 5
 
 _VALUE = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 31, 256).astype(np.uint32) * np.uint32(2) + np.uint32(1)
 _VALUE[65:91] = _VALUE[97:123]
@@ -102,26 +107,50 @@ def _bags(texts: pa.Array):
     for s in slices(texts, 1 << 18):
         parts = [(b, ok, bounds) for b, ok, bounds in grams(s)]
         for d in range(len(s)):
-            ids = np.concatenate([b[(at := np.minimum(bounds[d : d + 2], len(b)))[0] : at[1]][ok[at[0] : at[1]]] for b, ok, bounds in parts])
-            bucket, count = np.unique(ids, return_counts=True)
-            yield bucket, (count / (SHRINK + count.sum())).astype(np.float32)
-
-
-def train(texts: pa.Array, y: list[int], epochs: int = EPOCHS, rate: float = RATE) -> Model:
-    if len(set(y)) < 2:
+            ids = [b[(at := np.minimum(bounds[d : d + 2], len(b)))[0] : at[1]][ok[at[0] : at[1]]] for b, ok, bounds in parts]
+            bucket, count = np.unique(np.concatenate(ids) if ids else np.zeros(0, np.uint32), return_counts=True)
+            yield bucket.astype(np.int32), (count / (SHRINK + count.sum())).astype(np.float32)
+
+
+def short_run(text: str, h: int) -> str:
+    """Up to ``RUN`` neighbouring words from anywhere in the text, drawn by the hash."""
+    words = text.split()
+    if not words:
+        return ""
+    size = 1 + (h >> 8) % min(RUN, len(words))
+    start = (h >> 20) % (len(words) - size + 1)
+    return " ".join(words[start : start + size])
+
+
+def _bag_rows(batches):
+    for batch in batches:
+        hashes, y, texts = (c.to_pylist() for c in batch.columns)
+        rows = [(h, k, 0, t) for h, k, t in zip(hashes, y, texts, strict=True)]
+        rows += [(h, 0, 1, short_run(t, h & (1 << 63) - 1)) for h, k, t in zip(hashes, y, texts, strict=True) if k == 0]
+        bags = list(_bags(pa.array([r[3] for r in rows], pa.string())))
+        cols = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int32()))]
+        cols += [pa.array([b for b, _ in bags], pa.list_(pa.int32())), pa.array([v for _, v in bags], pa.list_(pa.float32()))]
+        yield pa.RecordBatch.from_arrays(cols, names=["h", "y", "short", "bucket", "share"])
+
+
+def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, short: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, least: int = LEAST) -> Model:
+    """bags, labels and which bags are short runs -> the model.  Every fifth bag only places the decision."""
+    if len(set(y.tolist())) < 2:
         return Model(np.zeros(1 << BITS, np.float32), -30.0, 0.0)
+    spread = np.zeros(1 << BITS, np.int64)
+    for bucket, _ in (bag for bag, one in zip(bags, short.tolist(), strict=True) if not one):
+        spread[bucket] += 1
+    bags = [(bucket[keep], share[keep]) for bucket, share in bags for keep in [spread[bucket] >= least]]
     rng = np.random.default_rng(SEED)
-    bags = list(_bags(texts))
     embed = rng.normal(0, 1e-3, (1 << BITS, DIM)).astype(np.float32)  # near zero, so n-grams the fit never saw say nothing
     soft, bias = rng.normal(0, 0.5, (2, DIM)).astype(np.float32), np.zeros(2, np.float32)
     seen = np.full(1 << BITS, 1e-8, np.float32)
-    y = np.array(y)
-    held = np.arange(len(bags)) % 5 == 4  # placing the decision uses documents the weights never saw
-    fitted = [np.flatnonzero(~held & (y == k)) for k in (0, 1)]
+    held = np.arange(len(bags)) % 5 == 4
+    fitted = [np.flatnonzero(~held & (y == 0) & (short == 0)), np.flatnonzero(~held & (y == 0) & (short == 1)), np.flatnonzero(~held & (y == 1))]
     most = max(map(len, fitted))
-    for _ in range(max(epochs, min(60, STEPS // (2 * most)))):  # small samples need more passes
-        turn = np.concatenate([np.resize(rng.permutation(part), most) for part in fitted if len(part)])  # both classes equally often
-        for i in rng.permutation(turn):
+    for _ in range(epochs):
+        turn = [np.resize(rng.permutation(part), n) for part, n in zip(fitted, (most, most // 2, most), strict=True) if len(part)]
+        for i in rng.permutation(np.concatenate(turn)):  # both classes equally often, short runs half as often
             bucket, share = bags[i]
             if not len(bucket):
                 continue
@@ -140,11 +169,11 @@ def train(texts: pa.Array, y: list[int], epochs: int = EPOCHS, rate: float = RAT
     weight = (embed @ (soft[1] - soft[0])).astype(np.float32)
     first = float(bias[1] - bias[0])
     z = np.array([float(share @ weight[bucket]) for bucket, share in bags]) + first
-    middle, scale = _decision(z[held & (y == 0)], z[held & (y == 1)]) if len(set(y[held])) == 2 else (0.0, 1.0)
+    middle, scale = _decision(z[held & (y == 0)], z[held & (y == 1)]) if len(set(y[held].tolist())) == 2 else (0.0, 1.0)
     return Model(weight * np.float32(scale), (first - middle) * scale, float(np.log(THRESHOLD / (1 - THRESHOLD))))
 
 
-def _decision(low: np.ndarray, high: np.ndarray, clean: float = 3.0) -> tuple[float, float]:
+def _decision(low: np.ndarray, high: np.ndarray, clean: float = 5.0) -> tuple[float, float]:
     """Where to cut, towards the toxic side of the gap if there is one, a clean document lost weighing ``clean`` times a toxic one kept, and the slope there."""
     at = np.sort(np.concatenate([low, high]))
     at = (at[1:] + at[:-1]) / 2
@@ -154,8 +183,14 @@ def _decision(low: np.ndarray, high: np.ndarray, clean: float = 3.0) -> tuple[fl
     return float(best[0] + 0.75 * (best[-1] - best[0])), 8.0 / max(float(np.median(high) - np.median(low)), 0.5)
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Model:
-    return train(*labelled.sample(docs, labels, "toxic", per_class, max_chars, "toxic"))
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
+    rows = labelled.sample(docs, labels, "toxic", per_class, "toxic").mapInArrow(_bag_rows, "h long, y int, short int, bucket array<int>, share array<float>")
+    got = rows.toArrow()  # at most three bags for each sampled row, each of at most 1 << BITS buckets
+    y, short = got.column("y").to_numpy(), got.column("short").to_numpy()
+    turn = np.lexsort((short, y, got.column("h").to_numpy()))
+    bucket, share = got.column("bucket").combine_chunks(), got.column("share").combine_chunks()
+    bags = [(bucket[int(i)].values.to_numpy(), share[int(i)].values.to_numpy()) for i in turn]
+    return train(bags, y[turn], short[turn])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -3,8 +3,10 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from gapwise.llm import labelled, langid, quality, queries, toxicity
+from gapwise.llm.textnp import slices
 from tests.conftest import DATA
 from tests.llm.cases import documents
 
@@ -54,9 +56,17 @@ def toy(bad, good, n=160):
     return pa.array(texts), y
 
 
+def learned(module, texts, y):
+    y = np.array(y)
+    if module is toxicity:
+        return toxicity.train(list(toxicity._bags(texts)), y, np.zeros(len(y), int))
+    model = quality.Model(quality.index_vectors().astype(np.float32))
+    return quality.train(model, model.pooled(texts), y)
+
+
 def test_toxicity_generalises_to_misspellings():
     insert = lambda w, rng: [*w[:30], "worthlessscum", *w[30:]]
-    model = toxicity.train(*toy(insert, None))
+    model = learned(toxicity, *toy(insert, None))
     clean, _ = toy(lambda w, r: w, None, 20)
     spelt = pa.array([t.as_py() + " worthlesscum" for t in clean])
     assert (model.scores(spelt) > model.scores(clean)).all()
@@ -67,7 +77,7 @@ def test_toxicity_generalises_to_misspellings():
 def test_quality_spots_noise():
     noisy = lambda w, rng: [x.upper() + "!!" for x in w]
     texts, y = toy(noisy, None)
-    model = quality.train(texts, y)
+    model = learned(quality, texts, y)
     assert ((model.scores(texts) >= 0.5) == np.array(y)).mean() > 0.95
 
 
@@ -83,5 +93,99 @@ def test_models_without_labels(spark, module):
 def test_equal_texts_have_equal_scores():
     texts = pa.array(["a b c", "x" * 3000, "a b c", None, "", "a b c"])
     for module in (toxicity, quality):
-        s = module.train(*toy(lambda w, r: [*w, "zzz"], None)).scores(texts)
+        s = learned(module, *toy(lambda w, r: [*w, "zzz"], None)).scores(texts)
         assert s[0] == s[2] == s[5] and s[3] == s[4]
+
+
+def test_language_equals_a_plain_scorer(spark):
+    """Every whole text of the table, encoded block by block with a compressor made anew."""
+    import zstandard
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    dictionaries = langid.fit(docs)
+    assert all(len(d) <= langid.DICTIONARY for d in dictionaries.values())
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs, dictionaries).collect()}
+    for r in docs.collect():
+        raw, sizes = (r.text or "").lower().encode(), []
+        if not any(c.isalpha() for c in r.text or ""):
+            assert got[r.doc_id] == "und"
+            continue
+        for d in dictionaries.values():
+            c = zstandard.ZstdCompressor(level=9, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False)
+            sizes.append(sum(len(c.compress(raw[i : i + 4096])) for i in range(0, len(raw), 4096)))
+        assert sizes[list(dictionaries).index(got[r.doc_id])] == min(sizes)
+
+
+def test_language_ties_and_clashing_columns(spark):
+    docs = documents(spark).select("*", *[F.lit(1).alias(c) for c in ("h", "place", "w", "c", "used")])
+    assert list(langid.fit(docs)) == ["de", "en"]
+    tie = langid.predict(docs.where("doc_id = 8"), {"aa": b"zzzz", "bb": b"zzzz"}).first()
+    assert tie.lang_pred == "aa" and tie.rejected and tie.score == 0.5
+
+
+def naive_grams(text):
+    """Buckets of a text's n-grams, word by word."""
+    value = [int(v) for v in toxicity._VALUE]
+    words = [w for w in __import__("re").split(rb"[\x20\x09-\x0D]+", text.encode()) if w]
+    low = [bytes(c + 32 if 65 <= c < 91 else c for c in w) for w in words]
+    for k, w in enumerate(low):
+        if k and w == low[k - 1]:
+            continue
+        padded = b" " + w + b" "
+        for n in toxicity.ORDERS:
+            for i in range(len(padded) - n + 1):
+                if padded[i] == padded[i + n - 1] == 32:  # a whole word between separators is told by its parts
+                    continue
+                h = 0
+                for c in padded[i : i + n]:
+                    h = (h * 0x01000193 + value[c]) % 2**32
+                h = h * 0x9E3779B1 % 2**32
+                h ^= h >> 15
+                yield (h * 0x85EBCA77 % 2**32) >> (32 - toxicity.BITS)
+
+
+def test_toxicity_equals_a_plain_scorer(spark):
+    model = learned(toxicity, *toy(lambda w, rng: [*w[:30], "worthlessscum", *w[30:]], None))
+    texts = [r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").limit(60).collect()] + ["worthlessscum", "a a b"]
+    for text, got in zip(texts, model.scores(pa.array(texts)), strict=True):
+        ids = list(naive_grams(text or ""))
+        z = model.bias + model.shift + sum(float(model.weight[i]) for i in ids) / (len(ids) + toxicity.SHRINK)
+        if ids:
+            assert got == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), abs=1e-6)
+
+
+def test_quality_equals_a_plain_scorer(spark):
+    import re
+
+    model = learned(quality, *toy(lambda w, rng: [x.upper() + "!!" for x in w], None))
+    texts = [r.text or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").limit(60).collect()] + ["a a b!!b 12 12x", ""]
+    for text, got in zip(texts, model.pooled(pa.array(texts)), strict=True):
+        runs = re.findall(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^A-Za-z0-9\x80-\xff\x20\x09-\x0d]+", text.encode())
+        words = [r.decode("latin-1").encode("latin-1") for r in runs]
+        low = [bytes(c + 32 if 65 <= c < 91 else c for c in w) for w in words]
+        want = np.zeros(len(got))
+        for k, w in enumerate(low):
+            token = quality.tokens(next(iter(slices(pa.array([w]).cast(pa.binary())))))[0]
+            want[: quality.DIM] += model.vectors[token[0]]
+            kind = (k >= 1 and w == low[k - 1]) + 2 * (k >= 2 and w == low[k - 2])
+            if kind:
+                want[quality.DIM + kind - 1] += 1
+        assert got == pytest.approx(want / max(len(low), 1), abs=1e-4)
+
+
+def test_sample_takes_exactly_what_there_is(spark):
+    docs = spark.createDataFrame([(i, f"t{i}", 1) for i in range(40)] + [(3, "again", 1), (None, "none", 1), (41, "", 1)], "doc_id long, text string, h int")
+    labels = spark.createDataFrame([(i, i % 2, 7) for i in range(42)] + [(0, 0, 7), (2, 5, 7), (4, None, 7)], "doc_id long, toxic int, y int")
+    free = [i for i in range(40) if not held(i, 3, 1)]
+    got = labelled.sample(docs, labels, "toxic", 100, "x").collect()
+    assert sorted(r.text for r in got) == sorted("again" if i == 3 else f"t{i}" for i in free)
+    assert len(labelled.sample(docs, labels, "toxic", 5, "x").collect()) == 10
+
+
+@pytest.mark.parametrize("name, label", [("op5_toxicity", "toxic"), ("op10_quality", "quality")])
+def test_one_class_and_clashing_columns(spark, name, label):
+    module = toxicity if label == "toxic" else quality
+    docs = documents(spark).select("*", *[F.lit(1).alias(c) for c in ("h", "y", "bucket", "x", "score")])
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 15)], f"doc_id long, {label} int")
+    got = labelled.score(docs, module.fit(docs, labels), 0.7).collect()
+    assert {r.score for r in got} == ({0.5} if label == "quality" else {got[0].score}) and len(got) == docs.count()

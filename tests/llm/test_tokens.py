@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gapwise.llm import packing, token_store
@@ -52,16 +53,47 @@ def test_store_round_trip(spark):
     assert rebuilt == Counter((r.doc_id, ids(r.text, 0).astype("<u2").tobytes()) for r in docs.collect())
     chunks = spark.read.parquet(f"{path}/chunks")
     assert chunks.count() == chunks.select("digest").distinct().count()
-    assert spark.read.parquet(f"{path}/manifest").agg({"docs": "sum"}).first()[0] == docs.count()
+    nodes = spark.read.parquet(f"{path}/manifest")
+    assert nodes.where("level = 1").agg({"docs": "sum"}).first()[0] == docs.count()
+
+
+def test_damaged_recipes_and_swapped_chunks_are_found(spark, monkeypatch):
+    monkeypatch.setattr(token_store, "FANOUT", 3)
+    path = token_store.write_store(documents(spark), new_path(spark, "t"), PATH)
+    assert spark.read.parquet(f"{path}/manifest").agg({"level": "max"}).first()[0] >= 2
+    recipes, chunks, kept = (spark.read.parquet(f"{path}/{n}") for n in ("recipes", "chunks", "manifest"))
+
+    def stored(name, recipes, chunks):
+        at = new_path(spark, name)
+        for n, df in (("recipes", recipes), ("chunks", chunks), ("manifest", kept)):
+            df.write.parquet(f"{at}/{n}")
+        return at
+
+    other = recipes.where("doc_id = 10").first()["recipe"][0]["digest"]
+    swapped = F.when(F.col("doc_id") == 1, F.transform("recipe", lambda x: x.withField("digest", F.lit(other)))).otherwise(F.col("recipe"))
+    bad = [
+        stored("lost", recipes.where("doc_id <> 13 OR doc_id IS NULL"), chunks),
+        stored("swapped", recipes.withColumn("recipe", swapped), chunks),
+        stored("longer", recipes.withColumn("n_tokens", F.col("n_tokens") + 1), chunks),
+        stored("gone", recipes, chunks.where(F.col("digest") != F.lit(other))),
+        stored("cut", recipes, chunks.withColumn("n", F.col("n") + F.when(F.col("digest") == F.lit(other), 1).otherwise(0))),
+    ]
+    for at in bad:
+        with pytest.raises(Exception, match="manifest|missing|match"):
+            token_store.read_store(spark, at, 2).collect()
+    for at in bad[:4]:
+        with pytest.raises(Exception, match="manifest|missing|match"):
+            token_store.read_documents(spark, at).collect()
 
 
 def test_a_damaged_chunk_is_found(spark):
     path = token_store.write_store(documents(spark), new_path(spark, "t"), PATH)
-    chunks = spark.read.parquet(f"{path}/chunks")
-    chunks.selectExpr("digest", "n", "ids || X'00' AS ids").write.parquet(f"{path}/bad/chunks")
-    spark.read.parquet(f"{path}/recipes").write.parquet(f"{path}/bad/recipes")
-    with pytest.raises(Exception, match="does not match"):
-        token_store.read_store(spark, f"{path}/bad", 2).collect()
+    chunks, at = spark.read.parquet(f"{path}/chunks"), new_path(spark, "t")
+    for n in ("recipes", "manifest"):
+        spark.read.parquet(f"{path}/{n}").write.parquet(f"{at}/{n}")
+    chunks.withColumn("ids", F.expr("overlay(ids PLACING X'FFFF' FROM 1 FOR 2)")).write.parquet(f"{at}/chunks")
+    with pytest.raises(Exception, match="digest"):
+        token_store.read_store(spark, at, 2).collect()
 
 
 @settings(max_examples=60, deadline=None)
