@@ -1,11 +1,11 @@
-"""Shared plumbing of the corpus operators: table access, durable intermediates, ranks without a single task."""
+"""Shared plumbing of the corpus operators: table access, durable intermediates, checked broadcasts."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Explicit broadcasts happen only below this many rows of a few fixed-width columns; beyond it the same join shuffles.
@@ -18,9 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share.  Where none is named, a local session gets a temporary one; a cluster raises."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="gapwise-")
         spark.sparkContext.setCheckpointDir(path)
     return path
@@ -48,20 +50,6 @@ def bounded(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
-def running_total(df: DataFrame, order: list, value: str, total: str) -> DataFrame:
-    """Adds the exclusive running sum of ``value`` in the order of the given columns.
-
-    The rows are range-partitioned and stored with their partition's number; sums by partition give each
-    partition's start, so no task sees more than its own range.
-    """
-    parts = max(1, df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = stored(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "ranged")
-    sums = ranged.groupBy("__part").agg(F.sum(value).alias("__sum"))
-    before = sums.select("__part", F.coalesce(F.sum("__sum").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    inner = F.coalesce(F.sum(value).over(Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return ranged.join(F.broadcast(before), "__part").withColumn(total, (F.col("__before") + inner).cast("long")).drop("__part", "__before")
-
-
 def discard(*frames: DataFrame) -> None:
     """Deletes intermediate tables that nothing reads any more."""
     for df in frames:

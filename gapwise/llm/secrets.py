@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import bounded, stored
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -38,6 +38,8 @@ RUN_TEST = r"[A-Za-z0-9+/_=-]{15}"
 RUN_MIX = r"(?:[0-9][A-Za-z][A-Za-z0-9+/_=-]*[0-9][A-Za-z])|(?:[0-9].*[A-Za-z].*[0-9].*[A-Za-z].*[0-9])"
 
 SPAN = "array<struct<start:bigint,end:bigint,kind:int,value:string>>"
+#: Owners and repositories (documents) that may hold a value before it counts as widely copied.
+MAX_OWNERS, MAX_REPOSITORIES = 2, 20
 
 
 def _spans(text: Column, pattern: str, group: int, least: int, test: str, kind: int) -> Column:
@@ -70,12 +72,13 @@ def _listed(spans: Column, kinds: tuple) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max_owners: int = 2, max_repositories: int | None = None) -> DataFrame:
+def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """docs(doc_id, text, owner, repository) -> doc_id, __key, base, live, n_shared.
 
-    ``live`` holds the added spans: runs whose value stays with at most ``max_owners`` owners and that touch no
-    base span.  ``n_shared`` counts a document's candidates that more owners hold.  ``__key`` is the text's hash.
-    With ``max_repositories``, values in more repositories count as widely copied too; the query's SQL judges by owners only.
+    A value is widely copied if more than ``max_owners`` owners or more than ``max_repositories`` repositories hold it; the table of
+    those values, not of all, is joined back, as a broadcast only where its counted rows are few.  ``live`` holds the added spans: runs
+    whose value is not widely copied and that touch no base span.  ``n_shared`` counts a document's widely copied candidates.
+    ``__key`` is the text's hash.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.col(owner).cast("string").alias("__owner"), F.col(repository).cast("string").alias("__repo"), text.alias("__t"))
@@ -87,15 +90,11 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max
     cand = rows.where((F.size("base") > 0) | (F.size("__runs") > 0))
     held = cand.select("__owner", "__repo", F.explode(F.array_distinct(F.transform(F.concat("base", "__runs"), lambda x: F.sha2(x["value"], 256)))).alias("__h"))
     distinct = lambda c: held.select("__h", c).distinct().groupBy("__h")
-    owners = distinct("__owner").agg(F.count("*").alias("owners"))
-    if max_repositories is not None:
-        owners = owners.join(distinct("__repo").agg(F.count("*").alias("repositories")), "__h")
-
-    copied = F.col("owners") > max_owners
-    if max_repositories is not None:
-        copied |= F.col("repositories") > max_repositories
+    many = [distinct(c).agg(F.count("*").alias("c")).where(F.col("c") > most).select("__h") for c, most in (("__owner", max_owners), ("__repo", max_repositories))]
+    wide = stored(many[0].union(many[1]).distinct().withColumn("__copied", F.lit(True)), "secret-copied")
+    copied = F.col("__copied").isNotNull()
     each = cand.select("doc_id", "__key", F.explode(F.concat("base", "__runs")).alias("s")).distinct().withColumn("__h", F.sha2(F.col("s.value"), 256))
-    judged = each.join(owners, "__h").groupBy("doc_id", "__key").agg(
+    judged = each.join(bounded(wide, wide.count()), "__h", "left").groupBy("doc_id", "__key").agg(
         F.sort_array(F.collect_list(F.when((F.col("s.kind") == len(KINDS)) & ~copied, F.col("s")))).alias("live"),
         F.sum(copied.cast("long")).alias("n_shared"),
     )
@@ -164,11 +163,11 @@ def _oracle() -> str:
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
 a AS (SELECT rid, kind, x.s AS s, CAST(x.s + x.m AS BIGINT) AS e, x.v AS v FROM ({" UNION ALL ".join(parts)})),
 c AS (SELECT * FROM a WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM a b WHERE b.rid = a.rid AND b.kind < 3 AND b.s < a.e AND a.s < b.e)),
-o AS (SELECT v, count(DISTINCT coalesce(source, '~null')) AS owners FROM c JOIN d USING (rid) GROUP BY v),
-j AS (SELECT c.*, owners, CASE kind WHEN 0 THEN 'assign' WHEN 1 THEN 'access' WHEN 2 THEN 'hex' ELSE 'live' END || ':' || s || ':' || e AS n FROM c JOIN o USING (v)),
+o AS (SELECT v, count(DISTINCT coalesce(source, '~null')) > 2 OR count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), '~null')) > 20 AS copied FROM c JOIN d USING (rid) GROUP BY v),
+j AS (SELECT c.*, copied, CASE kind WHEN 0 THEN 'assign' WHEN 1 THEN 'access' WHEN 2 THEN 'hex' ELSE 'live' END || ':' || s || ':' || e AS n FROM c JOIN o USING (v)),
 p AS (SELECT rid, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
-        string_agg(n, ',' ORDER BY s, kind) FILTER (WHERE kind < 3) AS base, string_agg(n, ',' ORDER BY s, kind) FILTER (WHERE kind < 3 OR owners <= 2) AS spans,
-        count(*) FILTER (WHERE kind = 3 AND owners <= 2) AS n_live, count(*) FILTER (WHERE owners > 2) AS n_shared FROM j GROUP BY rid)
+        string_agg(n, ',' ORDER BY s, kind) FILTER (WHERE kind < 3) AS base, string_agg(n, ',' ORDER BY s, kind) FILTER (WHERE kind < 3 OR NOT copied) AS spans,
+        count(*) FILTER (WHERE kind = 3 AND NOT copied) AS n_live, count(*) FILTER (WHERE copied) AS n_shared FROM j GROUP BY rid)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
        coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared
 FROM d LEFT JOIN p USING (rid)

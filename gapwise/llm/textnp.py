@@ -129,11 +129,6 @@ def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iter
         i = j
 
 
-def per_doc(index: np.ndarray, n: int) -> np.ndarray:
-    """Bounds, n + 1 of them, of each document's run in a sorted array of document numbers."""
-    return np.searchsorted(index, np.arange(n + 1))
-
-
 def binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """Runs of a fixed-width array as one binary column; ``bounds`` counts elements."""
     offs = pa.py_buffer((bounds * values.dtype.itemsize).astype(np.int64))

@@ -90,3 +90,7 @@ def test_values_in_many_repositories_of_one_owner(spark):
     assert all(not r.live and r.n_shared == 1 for r in secrets.scan(docs, max_repositories=5).collect())
     assert all(r.live and r.n_shared == 0 for r in secrets.scan(docs, max_repositories=6).collect())
     assert all(r.live and r.n_shared == 0 for r in secrets.scan(docs).collect())
+    more = spark.createDataFrame([(i, "a Qz9Qz9Qz9Qz9Qz9Qz9Qz b", "one") for i in range(21)], "doc_id long, text string, source string")
+    assert all(not r.live and r.n_shared == 1 for r in secrets.scan(more).collect())
+    same = spark.createDataFrame([(7, "a Qz9Qz9Qz9Qz9Qz9Qz9Qz b", f"s{i % 3}") for i in range(30)], "doc_id long, text string, source string")
+    assert all(not r.live for r in secrets.scan(same).collect()) and all(r.live for r in secrets.scan(same, max_owners=3).collect())
