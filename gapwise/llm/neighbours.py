@@ -33,23 +33,28 @@ from pyspark.sql import functions as F
 
 from .common import discard, stored, table
 
-SAMPLE, SUB, CODES, BLOCK, SEED, TARGET = 20_000, 2, 256, 2048, 3, 0.98
+SAMPLE, SUB, CODES, BLOCK, SEED, TARGET = 20_000, 2, 256, 2048, 3, 0.94
+
+
+def vector_type(rows: DataFrame) -> str:
+    """Single precision where it is stored so, else double: scores are those of the stored numbers."""
+    return "array<float>" if rows.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
 
 
 def usable(rows: DataFrame) -> DataFrame:
     """rows(vec_id, embedding) that take part."""
-    v = F.col("embedding").cast("array<float>")
+    v = F.col("embedding").cast(vector_type(rows))
     ok = v.isNotNull() & F.col("vec_id").isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("embedding")).where(F.coalesce(ok, F.lit(False)))
     sizes = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
     return rows.where(F.size("embedding") == (sizes["d"] if sizes else 0))
 
 
-def matrix(column: pa.Array) -> np.ndarray:
+def matrix(column: pa.Array, kind=np.float32) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1).astype(np.float32) if len(column) else np.zeros((0, 1), np.float32)
+    return flat.reshape(len(column), -1).astype(kind) if len(column) else np.zeros((0, 1), kind)
 
 
 def kmeans(x: np.ndarray, k: int, rng, rounds: int = 12) -> np.ndarray:
@@ -79,7 +84,7 @@ def norms(x: np.ndarray) -> np.ndarray:
 
 def rounding(d: int) -> float:
     """Relative error of a sum of d products in single precision, at most."""
-    return (d + 8) * 1.2e-7
+    return (d + 12) * 1.2e-7
 
 
 def kth(score: np.ndarray, k: int, ids: np.ndarray) -> np.ndarray:
@@ -170,13 +175,14 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     if index is None:
         return spark.createDataFrame([], out)
     shared = spark.sparkContext.broadcast(index)
+    kind, parts = vector_type(rows), int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def encode(batches):
         for batch in batches:
             cell, code, off = shared.value.encode(matrix(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(off), batch.column(1)], names=["vec_id", "cell", "code", "off", "v"])
 
-    codes = stored(rows.mapInArrow(encode, "vec_id long, cell int, code binary, off double, v array<float>"), "codes")
+    codes = stored(rows.mapInArrow(encode, f"vec_id long, cell int, code binary, off double, v {kind}"), "codes")
     discard(rows)
     held = {r["cell"]: r["c"] for r in codes.groupBy("cell").agg(F.count("*").alias("c")).collect()}  # one row a cell
     reach = {r["cell"]: r["c"] for r in codes.groupBy("vec_id").agg(F.min("cell").alias("cell")).groupBy("cell").agg(F.count("*").alias("c")).collect()}
@@ -200,7 +206,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                 at = pa.array(who)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(cell.astype(np.int32)), pa.array(floor[who]), batch.column(1).take(at)], names=["query_id", "cell", "floor", "q"])
 
-    probes = stored(queries.mapInArrow(probe, "query_id long, cell int, floor double, q array<float>"), "probes")
+    probes = stored(queries.repartition(parts, "vec_id").mapInArrow(probe, f"query_id long, cell int, floor double, q {kind}"), "probes")
     asked = {r["cell"]: r["c"] for r in probes.groupBy("cell").agg(F.count("*").alias("c")).collect()}
     splits = spark.createDataFrame([(int(c), max(1, -(-int(counts[c]) // BLOCK)), max(1, -(-int(asked.get(c, 0)) // BLOCK))) for c in range(len(counts))], "cell int, rows_in int, queries_in int")
     splits = F.broadcast(splits)  # one row a cell, at most 4096
@@ -215,13 +221,13 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
             order = np.argsort(ids, kind="stable")
             ids = ids[order]
             code = np.frombuffer(b"".join(rows_.column("code").to_pylist()), np.uint8).reshape(len(ids), -1)[order]
-            off, x = rows_.column("off").to_numpy()[order], matrix(rows_.column("v"))[order].astype(np.float64)
+            off, x = rows_.column("off").to_numpy()[order], matrix(rows_.column("v"), np.float64)[order]
             base = ix.centroids[rows_.column("cell")[0].as_py()]
-            q, floor = matrix(asks.column("q")), asks.column("floor").to_numpy()
+            q, floor = matrix(asks.column("q"), np.float64), asks.column("floor").to_numpy()
             for i in range(0, len(q), 256):
                 part, least = q[i : i + 256], floor[i : i + 256]
-                tables = ix.tables(part)
-                score = np.repeat((part * base).sum(1)[:, None], len(ids), axis=1)
+                tables = ix.tables(part.astype(np.float32))
+                score = np.repeat((part.astype(np.float32) * base).sum(1)[:, None], len(ids), axis=1)
                 for j in range(code.shape[1]):
                     score += tables[:, j, :][:, code[:, j]]
                 score[qids[i : i + 256, None] == ids[None, :]] = -np.inf
@@ -231,7 +237,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                 if not len(some):
                     continue
                 # Exact scores of all that remain; those near a query's k-th best are added up once more, always in the same order.
-                wide = part[asking].astype(np.float64)
+                wide = part[asking]
                 exact = np.where(keep[np.ix_(asking, some)], wide @ x[some].T, -np.inf)
                 slack = 1e-14 * x.shape[1] * norms(wide) * norms(x[some]).max()
                 who, what = np.nonzero((exact >= np.maximum(kth(exact, k, ids[some]), least[asking])[:, None] - slack[:, None]) & np.isfinite(exact))
