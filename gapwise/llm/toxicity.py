@@ -18,9 +18,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import labelled
-from .common import table
+from .common import stored, table
 from .textnp import _SEP, Slice, slices
 
 ORDERS, BITS, DIM = (3, 4, 5, 6), 18, 8
@@ -184,8 +185,24 @@ def _decision(low: np.ndarray, high: np.ndarray, clean: float = 5.0) -> tuple[fl
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
-    rows = labelled.sample(docs, labels, "toxic", per_class, "toxic").mapInArrow(_bag_rows, "h long, y int, short int, bucket array<int>, share array<float>")
-    got = rows.toArrow()  # at most three bags for each sampled row, each of at most 1 << BITS buckets
+    fields = "h long, y int, short int, bucket array<int>, share array<float>"
+    rows = stored(labelled.sample(docs, labels, "toxic", per_class, "toxic").mapInArrow(_bag_rows, fields), "bags")
+    spread = rows.where("short = 0").select(F.explode("bucket").alias("b")).groupBy("b").count().where(F.col("count") >= LEAST)
+    known = np.zeros(1 << BITS, bool)
+    known[spread.select("b").toArrow().column(0).to_numpy()] = True
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
+    def lean(batches):
+        for batch in batches:
+            lists = []
+            for name in ("bucket", "share"):
+                flat, ends = batch.column(name).flatten(), batch.column(name).offsets.to_numpy() - batch.column(name).offsets[0].as_py()
+                keep = shared.value[batch.column("bucket").flatten().to_numpy()]
+                cum = np.concatenate([[0], np.cumsum(keep)])[ends].astype(np.int32)
+                lists.append(pa.ListArray.from_arrays(pa.array(cum), flat.filter(pa.array(keep))))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=batch.schema.names)
+
+    got = rows.mapInArrow(lean, fields).toArrow()  # at most two bags for each sampled row, without n-grams that are not learned
     y, short = got.column("y").to_numpy(), got.column("short").to_numpy()
     turn = np.lexsort((short, y, got.column("h").to_numpy()))
     bucket, share = got.column("bucket").combine_chunks(), got.column("share").combine_chunks()
@@ -199,7 +216,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that are not predicted toxic, in their own columns; texts are judged where they stand."""
-    import pyspark.sql.functions as F
     from pyspark.sql.functions import pandas_udf
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
