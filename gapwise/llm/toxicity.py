@@ -15,6 +15,8 @@ are left out; repeated rows and ties get equal scores; other columns are ignored
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -134,6 +136,17 @@ def _bag_rows(batches):
         yield pa.RecordBatch.from_arrays(cols, names=["h", "y", "short", "bucket", "share"])
 
 
+def pack(bucket: np.ndarray, share: np.ndarray) -> bytes:
+    """A bag in few bytes: steps between its ascending buckets, then the shares, compressed."""
+    return zlib.compress(np.diff(bucket, prepend=0).astype("<u4").tobytes() + share.astype("<f4").tobytes(), 1)
+
+
+def unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(raw)
+    n = len(raw) // 8
+    return np.cumsum(np.frombuffer(raw, "<u4", n)).astype(np.int32), np.frombuffer(raw, "<f4", n, 4 * n)
+
+
 def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, short: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, least: int = LEAST) -> Model:
     """bags, labels and which bags are short runs -> the model.  Every fifth bag only places the decision."""
     if len(set(y.tolist())) < 2:
@@ -194,19 +207,18 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
 
     def lean(batches):
         for batch in batches:
-            lists = []
-            for name in ("bucket", "share"):
-                flat, ends = batch.column(name).flatten(), batch.column(name).offsets.to_numpy() - batch.column(name).offsets[0].as_py()
-                keep = shared.value[batch.column("bucket").flatten().to_numpy()]
-                cum = np.concatenate([[0], np.cumsum(keep)])[ends].astype(np.int32)
-                lists.append(pa.ListArray.from_arrays(pa.array(cum), flat.filter(pa.array(keep))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=batch.schema.names)
-
-    got = rows.mapInArrow(lean, fields).toArrow()  # at most two bags for each sampled row, without n-grams that are not learned
+            packed = []
+            for bucket, share in zip(batch.column("bucket"), batch.column("share"), strict=True):
+                bucket, share = bucket.values.to_numpy(), share.values.to_numpy()
+                keep = shared.value[bucket]
+                packed.append(pack(bucket[keep], share[keep]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], names=["h", "y", "short", "bag"])
+
+    # At most two bags for each sampled row, without n-grams that are not learned, some bytes an n-gram.
+    got = rows.mapInArrow(lean, "h long, y int, short int, bag binary").toArrow()
     y, short = got.column("y").to_numpy(), got.column("short").to_numpy()
     turn = np.lexsort((short, y, got.column("h").to_numpy()))
-    bucket, share = got.column("bucket").combine_chunks(), got.column("share").combine_chunks()
-    bags = [(bucket[int(i)].values.to_numpy(), share[int(i)].values.to_numpy()) for i in turn]
+    bags = [unpack(got.column("bag")[int(i)].as_py()) for i in turn]
     return train(bags, y[turn], short[turn])
 
 

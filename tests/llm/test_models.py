@@ -189,3 +189,9 @@ def test_one_class_and_clashing_columns(spark, name, label):
     labels = spark.createDataFrame([(i, 1) for i in range(1, 15)], f"doc_id long, {label} int")
     got = labelled.score(docs, module.fit(docs, labels), 0.7).collect()
     assert {r.score for r in got} == ({0.5} if label == "quality" else {got[0].score}) and len(got) == docs.count()
+
+
+def test_bags_survive_packing():
+    for bucket, share in toxicity._bags(pa.array(["worthless worthless scum", "a", "", "x" * 500])):
+        a, b = toxicity.unpack(toxicity.pack(bucket, share))
+        assert a.tolist() == bucket.tolist() and b.tolist() == share.tolist()
