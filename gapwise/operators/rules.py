@@ -35,6 +35,14 @@ CHECKS = (
 )
 
 
+#: Tables that split the results by class.
+CLASS_TABLES = {
+    "valid_core_cycles": "valid_core_cycle",
+    "valid_complete_multisensor_cycles": "valid_complete_multisensor_cycle",
+    "invalid_cycles": "invalid_cycle",
+}
+
+
 @dataclass(frozen=True)
 class RuleConfig:
     core: tuple[str, ...] = ("position", "velocity", "current", "pressure", "temperature")
@@ -102,9 +110,27 @@ def reference_values(quality: DataFrame, profile: DataFrame, classes: DataFrame,
     return core.unionByName(vibration).unionByName(cycle)
 
 
-def is_provisional(profile: DataFrame, config: RuleConfig) -> bool:
+def hard_rules(spark, config: RuleConfig) -> DataFrame:
+    """Logical rules that are never learned: order and length of a cycle, the position's presence, finite core signals."""
+    rows = [("cycle", "interval_order", "hard_interval_order", None), ("cycle", "duration_seconds", "hard_positive_duration", 0.0)]
+    rows += [("position", "presence", "hard_signal_presence", None)]
+    rows += [(s, "finite_values", "hard_finite_required", None) for s in config.core]
+    fields = "signal_name string, metric string, rule_type string, lower_bound double, upper_bound double, method string, hard_rule boolean, provisional boolean, fallback_used boolean"
+    return spark.createDataFrame([(s, m, kind, low, None, "hard_rule", True, False, False) for s, m, kind, low in rows], fields)
+
+
+def population_warning(profile: DataFrame, config: RuleConfig) -> str | None:
+    """Why the profiled cycles may not stand for all, if they may not."""
     row = profile.agg(F.countDistinct("session_id").alias("s"), F.count("*").alias("n")).first()
-    return config.provisional and (row["s"] <= 1 or row["n"] < max(5 * config.minimum_reference_count, 200))
+    if not row["n"]:
+        return "no profiled cycles: there is no reference population"
+    if row["s"] <= 1 or row["n"] < max(5 * config.minimum_reference_count, 200):
+        return f"{row['n']} profiled cycles in {row['s']} sessions may not represent the whole experiment"
+    return None
+
+
+def is_provisional(profile: DataFrame, config: RuleConfig) -> bool:
+    return config.provisional and population_warning(profile, config) is not None
 
 
 def _out(x, rule_lo, rule_hi, below, above, low, high):

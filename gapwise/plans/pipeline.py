@@ -6,6 +6,8 @@ a run can stop after any stage, rules are frozen before they are applied, and a
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 from datetime import datetime, timezone
 
@@ -15,7 +17,8 @@ from pyspark.sql import functions as F
 from ..operators import catalog, extract, profile, rules, temporal, tensors
 from ..sources import measurements as store
 from ..sources import metadata
-from .config import PipelineConfig, Stage
+from .storage import freeze
+from .config import FOLDERS, PipelineConfig, Stage
 
 
 def strict_json(value) -> str:
@@ -51,9 +54,21 @@ class Run:
         self.root = f"{config.output.rstrip('/')}/{config.experiment}/{self.id}"
         self.manifest: dict = {"experiment": config.experiment, "run_id": self.id, "status": "running", "stages": {}, "error": None}
 
+    def folder(self, stage: Stage) -> str:
+        return f"{self.root}/{FOLDERS.get(stage, stage.value)}"
+
+    def csv(self, stage: Stage, name: str, df: DataFrame) -> None:
+        """One CSV file of a table whose rows are bounded by signals, metrics and codes."""
+        out = io.StringIO()
+        csv.writer(out).writerows([df.columns, *df.collect()])
+        write_text(self.spark, f"{self.folder(stage)}/{name}.csv", out.getvalue())
+
+    def json(self, stage: Stage, name: str, value) -> None:
+        write_text(self.spark, f"{self.folder(stage)}/{name}.json", strict_json(value))
+
     def table(self, stage: Stage, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{stage.value}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        path = f"{self.folder(stage)}/{name}"
+        df.write.mode("overwrite").option("compression", self.config.compression).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.manifest["stages"].setdefault(stage.value, {})[name] = {"path": path, "rows": out.count()}
         self.save()
@@ -84,10 +99,16 @@ def _stages(run: Run):
     config, spark = run.config, run.spark
     stop = lambda s: config.stop_after is s
 
-    at = Stage.SIGNAL_CATALOGUE
+    at = Stage.METADATA
     meta = metadata.load_metadata(spark, config.dataset)
     paths = catalog.node_paths(meta.nodes)
     catalog.check_acyclic(meta.nodes, paths)
+    paths = run.table(at, "node_paths", paths)
+    yield at
+    if stop(at):
+        return
+
+    at = Stage.SIGNAL_DISCOVERY
     uuid = catalog.signal_catalogue(metadata.canonical_uuid_signals(meta.uuid_signals), paths, meta.units)
     ints = catalog.signal_catalogue(metadata.canonical_int_signals(meta.int_signals), paths, meta.units)
     signals = run.table(at, "experiment_signals", catalog.experiment_signals(uuid, ints, config.experiment, config.exact_experiment))
@@ -104,20 +125,20 @@ def _stages(run: Run):
     order = ["time", "value"]
     histogram = run.table(at, "gap_histogram", temporal.gap_histogram(temporal.gaps(samples, [], order)))
     run.table(at, "gap_statistics", temporal.gap_statistics(histogram))
-    run.table(at, "gap_threshold_counts", temporal.gap_threshold_counts(histogram))
+    run.csv(at, "gap_threshold_counts", run.table(at, "gap_threshold_counts", temporal.gap_threshold_counts(histogram)).orderBy("threshold_seconds"))
     yield at
     if stop(at):
         return
 
     at = Stage.SESSION_DETECTION
-    tagged = temporal.session_ids(samples, [], order, config.session_gap_seconds)
+    tagged = freeze(temporal.session_ids(samples, [], order, config.session_gap_seconds))
     run.table(at, "sessions", temporal.summarise_sessions(tagged, [], "time", config.session_gap_seconds))
     yield at
     if stop(at):
         return
 
     at = Stage.CYCLE_DETECTION
-    cycles = temporal.cycles(tagged.drop("gap_us"), ["session_id"], order, config.movement_threshold)
+    cycles = temporal.cycles(tagged.drop("gap_us"), ["session_id"], order, config.movement_threshold, hold=freeze)
     cycles = cycles.withColumns({"experiment": F.lit(config.experiment), "reference_signal_uuid": F.lit(reference["signal_id_uuid"])})
     cycles = run.table(at, "cycles", cycles.orderBy("session_id", "start_time", "cycle_id"))
     if config.cycle_limit:
@@ -127,21 +148,28 @@ def _stages(run: Run):
         return
 
     at = Stage.MULTI_SENSOR_EXTRACTION
+    if config.selected_signals:
+        signals = signals.where(F.col("signal_name").isin(*config.selected_signals))
     known = F.broadcast(signals.withColumn("key", F.coalesce("signal_id_uuid", F.col("signal_id").cast("string"))).drop("signal_id"))
-    rows = store.all_samples(spark, config.dataset).withColumnRenamed("signal_id", "key").join(known, ["source", "key"])
+    span = cycles.agg(F.min("start_time"), F.max("end_time")).first()  # reaches both scans as a range, the names as partitions
+    ids = [r["key"] for r in known.select("key").collect()]
+    rows = store.all_samples(spark, config.dataset).withColumnRenamed("signal_id", "key").where(F.col("key").isin(*ids))
+    if span[0] is not None:
+        rows = rows.where((F.col("time") >= F.lit(span[0]).cast("timestamp_ntz")) & (F.col("time") <= F.lit(span[1]).cast("timestamp_ntz")))
+    rows = rows.join(known, ["source", "key"])
     names = [r["signal_name"] for r in signals.select("signal_name").collect()]
     found = extract.cycle_measurements(rows, cycles).withColumns({"experiment": F.lit(config.experiment), "signal_id": F.col("key").try_cast("bigint")}).drop("key")
     mark = extract.fingerprint(cycles, config.experiment, names, config.cycles_per_file)
-    extract.write_store(found.select("experiment", "session_id", "cycle_id", "signal_name", "source", "signal_id", "signal_id_uuid", "unit_code", "unit_symbol", "time", "value"), f"{run.root}/{at.value}", mark)
+    extract.write_store(found.select("experiment", "session_id", "cycle_id", "signal_name", "source", "signal_id", "signal_id_uuid", "unit_code", "unit_symbol", "time", "value"), run.folder(at), mark)
     from ..schemas import MEASUREMENTS
 
-    found = extract.read_store(spark, f"{run.root}/{at.value}", MEASUREMENTS)
+    found = extract.read_store(spark, run.folder(at), MEASUREMENTS)
     run.table(at, "signal_window_summary", extract.window_summary(found, cycles, signals))
     yield at
     if stop(at):
         return
 
-    at = Stage.QUALITY_PROFILING
+    at = Stage.CYCLE_QUALITY_PROFILING
     quality = run.table(at, "signal_quality", profile.signal_quality(found, cycles))
     prof = run.table(at, "cycle_profile", profile.cycle_profile(quality, cycles, config.reference_signal))
     run.table(at, "metric_distribution", profile.metric_distribution(quality))
@@ -149,33 +177,35 @@ def _stages(run: Run):
     if stop(at):
         return
 
-    at = Stage.VALIDATION_RULES
+    at = Stage.VALIDATION_RULE_GENERATION
     classes = run.table(at, "availability", rules.availability(quality, cycles, config.rules.vibration))
     learned = rules.learned_rules(rules.reference_values(quality, prof, classes, config.rules), config.rules)
     provisional = rules.is_provisional(prof, config.rules)
     learned = run.table(at, "rules", learned.withColumn("provisional", F.lit(provisional)))
-    write_text(spark, f"{run.root}/{at.value}/thresholds.json", strict_json([r.asDict() for r in learned.collect()]))
+    hard = rules.hard_rules(spark, config.rules)
+    shown = learned.where("status = 'learned'").select(*[c for c in hard.columns if c in learned.columns], F.lit(False).alias("hard_rule"))
+    run.json(at, "validation_thresholds", {"thresholds": [r.asDict() for r in hard.unionByName(shown, allowMissingColumns=True).collect()]})
+    run.csv(at, "threshold_derivation_summary", learned.orderBy("scope", "signal_name", "metric"))
+    run.csv(at, "skipped_metrics", learned.where("status <> 'learned'").select("scope", "signal_name", "metric", "status").orderBy("scope", "signal_name", "metric"))
+    run.json(at, "rule_generation_summary", {"provisional": provisional, "representative_population_warning": rules.population_warning(prof, config.rules)})
     yield at
     if stop(at):
         return
 
     at = Stage.DATASET_VALIDATION
-    usable = learned if config.rules.allow_provisional or not provisional else learned.limit(0)
-    result = run.table(at, "cycle_validation", rules.cycle_validation(quality, prof, classes, usable, config.rules))
-    run.table(at, "reason_counts", rules.reason_counts(result))
-    run.table(at, "class_counts", result.groupBy("final_class").agg(F.count("*").alias("cycles")))
+    result = run.table(at, "cycle_validation", rules.cycle_validation(quality, prof, classes, learned, config.rules))
+    run.csv(at, "validation_reason_summary", run.table(at, "reason_counts", rules.reason_counts(result)).orderBy("reason"))
+    for name, final in rules.CLASS_TABLES.items():
+        run.table(at, name, result.where(F.col("final_class") == final))
+    counts = run.table(at, "class_counts", result.groupBy("final_class").agg(F.count("*").alias("cycles")))
+    run.json(at, "validation_summary", {r["final_class"]: r["cycles"] for r in counts.collect()})
     yield at
     if stop(at):
         return
 
-    at = Stage.FEATURES
+    at = Stage.FEATURE_ENGINEERING
     if config.write_features:
         run.table(at, "cycle_features", profile.feature_table(found, cycles, names))
-    yield at
-    if stop(at):
-        return
-
-    at = Stage.TENSOR_GENERATION
     wanted = ["valid_core_cycle", *(["valid_complete_multisensor_cycle"] if config.include_complete_cycles else [])]
     chosen = result.where(F.col("final_class").isin(wanted)).select("cycle_id")
     timed = chosen.join(cycles.select("cycle_id", "session_id", "start_time", "end_time"), "cycle_id", "left")

@@ -50,13 +50,19 @@ def test_whole_run(spark, dataset, tmp_path):
     assert counts == {(1, "position"): 3, (1, "temperature"): 1, (1, "sensor_a"): 2, (2, "position"): 2, (2, "temperature"): 0, (2, "sensor_a"): 1}
     got = {r.cycle_id: (r.final_class, r.reasons) for r in read("dataset_validation", "cycle_validation").collect()}
     assert got == {1: ("valid_core_cycle", "vibration_unavailable"), 2: ("invalid_cycle", "temperature:missing_required_signal,vibration_unavailable")}
-    t = read("tensor_generation", "tensors").collect()
+    assert rows["dataset_validation"]["valid_core_cycles"] == rows["dataset_validation"]["invalid_cycles"] == 1
+    root = tmp_path / "ExperimentAlpha/r"
+    found = json.load(open(root / "validation_rule_generation/validation_thresholds.json"))["thresholds"]
+    assert [r["rule_type"] for r in found] == ["hard_interval_order", "hard_positive_duration", "hard_signal_presence", "hard_finite_required", "hard_finite_required"]
+    assert json.load(open(root / "dataset_validation/validation_summary.json")) == {"valid_core_cycle": 1, "invalid_cycle": 1}
+    assert (root / "dataset_validation/validation_reason_summary.csv").read_text().splitlines()[0] == "reason,reason_count"
+    t = read("feature_engineering", "tensors").collect()
     assert len(t) == 1 and t[0]["values"] == [[2.0, 2.0, 0.0], [20.5, 20.5, 20.5]] and t[0]["mask"] == [[1, 1, 1], [1, 0, 0]]
 
 
 def test_stop_and_errors(spark, dataset, tmp_path):
     m = run_pipeline(spark, config(dataset, tmp_path, stop_after="SESSION_DETECTION"))
-    assert set(m["stages"]) == {"signal_catalogue", "timestamp_analysis", "session_detection"}
+    assert set(m["stages"]) == {"metadata", "signal_discovery", "timestamp_analysis", "session_detection"}
     with pytest.raises(FileNotFoundError):
         run_pipeline(spark, config(str(tmp_path / "none"), tmp_path))
     with pytest.raises(ValueError):
@@ -76,6 +82,19 @@ def test_store_resumes_and_refuses_other_settings(spark, tmp_path):
         extract.write_store(df, path, "other")
 
 
+def test_keys_of_run_files():
+    c = from_mapping({
+        "dataset_path": "d", "experiment": "e", "output_root": "o", "stop_after": "MULTI_SENSOR_EXTRACTION", "extract_all_cycles": False, "max_cycles_to_extract": 100,
+        "cycle_batch_size": 500, "selected_extraction_signals": ["position"], "signal_roles": {"core_required": ["position"], "optional_duty_cycled": ["vibration_x"]},
+        "validation_rule_generation": {"mad_z_limit": 3, "lower_quantile": 0.05, "upper_quantile": 0.95}, "dataset_validation": {"allow_provisional_rules": False},
+        "cycle_tensor_generation": {"required_signals": ["position"], "target_length_strategy": "percentile", "target_length_percentile": 99},
+    })
+    assert (c.dataset, c.output, c.stop_after, c.cycle_limit, c.selected_signals) == ("d", "o", Stage.MULTI_SENSOR_EXTRACTION, 100, ("position",))
+    assert (c.rules.core, c.rules.vibration, c.rules.z, c.rules.quantiles, c.rules.allow_provisional) == (("position",), ("vibration_x",), 3, (0.05, 0.95), False)
+    assert (c.tensor_signals, c.tensor_strategy, c.tensor_percentile) == (("position",), "percentile", 99)
+    assert from_mapping({"dataset_path": "d", "experiment": "e", "output_root": "o", "extract_all_cycles": True, "max_cycles_to_extract": 3}).cycle_limit is None
+
+
 def test_settings_and_strict_json():
     c = from_mapping({"dataset": "d", "experiment": "e", "output": "o", "stop_after": "Cycle_Detection", "unknown": 1, "rules": {"z": 3, "core": ["a"]}})
     assert c.stop_after is Stage.CYCLE_DETECTION and c.rules.core == ("a",)
