@@ -420,6 +420,17 @@ def cycle_validation(spark, d):
     return rules.cycle_validation(*frozen(spark, d), CONFIG)
 
 
+@query(f"WITH {_VALID} SELECT final_class, count(*) AS cycles FROM val GROUP BY 1")
+def class_split(spark, d):
+    return rules.cycle_validation(*frozen(spark, d), CONFIG).groupBy("final_class").agg(F.count("*").alias("cycles"))
+
+
+@query("""SELECT * FROM (VALUES ('cycle', 'interval_order', 'hard_interval_order', CAST(NULL AS DOUBLE)), ('cycle', 'duration_seconds', 'hard_positive_duration', 0.0), ('position', 'presence', 'hard_signal_presence', NULL),
+('click', 'finite_values', 'hard_finite_required', NULL), ('error', 'finite_values', 'hard_finite_required', NULL), ('purchase', 'finite_values', 'hard_finite_required', NULL)) t(signal_name, metric, rule_type, lower_bound)""")
+def hard_rules(spark, d):
+    return rules.hard_rules(spark, CONFIG).select("signal_name", "metric", "rule_type", "lower_bound")
+
+
 @query(f"WITH {_VALID} SELECT r AS reason, count(*) AS reason_count FROM (SELECT unnest(string_split(reasons, ',')) AS r FROM val) WHERE r <> '' GROUP BY 1")
 def reason_counts(spark, d):
     return rules.reason_counts(rules.cycle_validation(*frozen(spark, d), CONFIG))
@@ -437,6 +448,40 @@ def ready_block(spark, d):
     return select.ready_blocks(counted(spark, d), ["error", "view"], 3).select("cycle_id", "session_id", "ready", "run_id", "run_length")
 
 
+def counted_clicks(spark, d, least):
+    out = select.window_counts(clicks(spark, d), found_cycles(spark, d), ["click"])
+    return select.validation_quality(out, ["click"], {"click": least})
+
+
+_READY = f"""{_IN}, rd AS (SELECT c.*, (SELECT count(*) FROM x WHERE x.cycle_id = c.cycle_id AND x.signal_name = 'click') >= {{least}} AS ready FROM cyc c),
+ri AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY start_time, cycle_id) - row_number() OVER (PARTITION BY session_id, ready ORDER BY start_time, cycle_id) AS run_id FROM rd),
+rl AS (SELECT *, count(*) OVER (PARTITION BY session_id, ready, run_id) AS run_length FROM ri)"""
+
+
+@query(f"""WITH {_COUNTED} SELECT cycle_id, error_sample_count < 2 AND error_sample_count > 0 OR view_sample_count < 2 AND view_sample_count > 0 AS short,
+CASE WHEN (error_sample_count = 0 OR view_sample_count = 0) AND (error_sample_count = 1 OR view_sample_count = 1) THEN 'missing and insufficient required signals' WHEN error_sample_count = 0 OR view_sample_count = 0 THEN 'missing required signals'
+WHEN error_sample_count = 1 OR view_sample_count = 1 THEN 'insufficient samples for required signals' ELSE '' END AS rejection_reason FROM cnt""")
+def validation_quality(spark, d):
+    out = select.validation_quality(counted(spark, d), ["error", "view"], {"error": 2, "view": 2})
+    return out.select("cycle_id", (F.col("insufficient_required_signals") != "").alias("short"), "rejection_reason")
+
+
+@query(f"""WITH {_READY.format(least=2)}, one AS (SELECT session_id, run_id FROM rl WHERE ready AND run_length >= 2 ORDER BY session_id, start_time, cycle_id LIMIT 1)
+SELECT cycle_id FROM rl JOIN one USING (session_id, run_id) WHERE ready ORDER BY start_time, cycle_id LIMIT 2""")
+def validation_block(spark, d):
+    return select.validation_cycles(counted_clicks(spark, d, 2), 2, max_scan=None).select("cycle_id")
+
+
+@query(f"WITH {_READY.format(least=3)} SELECT cycle_id FROM rl WHERE ready ORDER BY session_id, start_time, cycle_id LIMIT 2")
+def validation_first_ready(spark, d):
+    return select.validation_cycles(counted_clicks(spark, d, 3), 2, False, None).select("cycle_id")
+
+
+@query(f"WITH {_CYC} SELECT cycle_id, row_number() OVER (ORDER BY session_id, start_time, cycle_id) AS selection_rank FROM cyc QUALIFY row_number() OVER (ORDER BY session_id, start_time, cycle_id) <= 40")
+def selected_first_n(spark, d):
+    return select.first_n(found_cycles(spark, d), 40).select("cycle_id", "selection_rank")
+
+
 @query(f"WITH {_COUNTED} SELECT cycle_id, error_sample_count, view_sample_count, CASE WHEN start_time >= end_time THEN 'invalid_cycle_interval' ELSE concat_ws(',', CASE WHEN error_sample_count = 0 THEN 'missing_error' WHEN error_sample_count < 2 THEN 'insufficient_error_samples' END, CASE WHEN view_sample_count = 0 THEN 'missing_view' WHEN view_sample_count < 2 THEN 'insufficient_view_samples' END) END AS rejection_reasons, start_time < end_time AND error_sample_count >= 2 AND view_sample_count >= 2 AS eligible FROM cnt")
 def candidate_eval(spark, d):
     out = select.candidate_evaluation(counted(spark, d), ["error", "view"], 2)

@@ -41,6 +41,53 @@ def first_block(blocks: DataFrame, block: int) -> DataFrame:
     return out
 
 
+def validation_quality(counted: DataFrame, signals: list[str], minimum: dict | None = None) -> DataFrame:
+    """Adds is_validation_ready, the missing and the insufficient signals in order, and the rejection's text."""
+    least = {s: max(int((minimum or {}).get(s, 1)), 1) for s in signals}
+    none = [F.when(F.col(f"{s}_sample_count") == 0, s) for s in signals]
+    few = [F.when((F.col(f"{s}_sample_count") > 0) & (F.col(f"{s}_sample_count") < least[s]), s) for s in signals]
+    out = counted.withColumns({"missing_required_signals": F.concat_ws(",", *none), "insufficient_required_signals": F.concat_ws(",", *few)})
+    missing, short = F.col("missing_required_signals") != "", F.col("insufficient_required_signals") != ""
+    # The rejection texts.
+    text = F.when(missing & short, "missing and insufficient required signals").when(missing, "missing required signals")
+    text = text.when(short, "insufficient samples for required signals").otherwise("")
+    return out.withColumns({"is_validation_ready": ~missing & ~short, "rejection_reason": text})
+
+
+def validation_cycles(quality: DataFrame, count: int, consecutive: bool = True, max_scan: int | None = 10_000) -> DataFrame:
+    """The cycles for human validation: the earliest run of so many ready ones inside a session, or just the first ready ones.
+
+    At most ``max_scan`` cycles are looked at, a limit that is the operator's own; none raises ``ValueError``.
+    """
+    if count <= 0:
+        raise ValueError("the number of validation cycles must be positive")
+    order = ["session_id", "start_time", "cycle_id"]
+    scan = quality.orderBy(*order).limit(max_scan) if max_scan else quality
+    if not consecutive:
+        out = scan.where("is_validation_ready").orderBy(*order).limit(count)
+        if out.count() < count:
+            raise ValueError(f"fewer than {count} validation-ready cycles")
+        return out
+    w = Window.partitionBy("session_id").orderBy("start_time", "cycle_id")
+    v = Window.partitionBy("session_id", "is_validation_ready").orderBy("start_time", "cycle_id")
+    runs = scan.withColumn("ready", F.col("is_validation_ready")).withColumn("run_id", F.row_number().over(w) - F.row_number().over(v))
+    return first_block(runs.withColumn("run_length", F.count("*").over(Window.partitionBy("session_id", "ready", "run_id"))), count).select(*quality.columns)
+
+
+def first_n(cycles: DataFrame, target: int) -> DataFrame:
+    """The leading cycles, unchecked, in the columns of a selection."""
+    order = ["session_id", "start_time", "cycle_id"]
+    out = cycles.orderBy(*order).limit(target)  # at most the target's rows
+    rank = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+    return out.withColumns({"burst_id": F.lit(-1), "stratum": F.lit(0).cast("bigint"), "selection_rank": rank, "rejection_reasons": F.lit("")})
+
+
+def selection_summary(picked: DataFrame, target: int) -> DataFrame:
+    """One row: how many were eligible and selected, and how many the target lacks."""
+    taken = F.count("selection_rank")
+    return picked.agg(F.count("*").alias("eligible_cycles_found"), taken.alias("selected_cycles"), F.greatest(F.lit(0), F.lit(target) - taken).cast("bigint").alias("selection_shortfall"))
+
+
 def candidate_evaluation(counted: DataFrame, signals: list[str], minimum: int) -> DataFrame:
     """Adds eligible and rejection_reasons: an interval code alone, else the first failing code of each signal in order."""
     codes = [

@@ -160,3 +160,42 @@ def test_tensor_lengths_masks_and_skips(spark, tmp_path):
     assert np.load(tmp_path / f"{written[0].file_name}.npy").shape == (1, 6, 2)
     with pytest.raises(ValueError):
         tensors.target_length(tensors.cycle_lengths(m.limit(0), "position"))
+
+
+def test_selection_caps_bursts(spark):
+    """Six cycles of one burst, two without one: the cap holds for the burst alone."""
+    rows = [(i, 1, at(i), 0, 0) for i in range(6)] + [(6, 1, at(6), 0, -1), (7, 2, at(7), 1, -1)]
+    df = spark.createDataFrame(rows, "cycle_id bigint, session_id bigint, start_time timestamp_ntz, stratum bigint, burst_id bigint")
+    got = select.select_cycles(df, 10, 4).toPandas()
+    assert got.selection_rank.notna().sum() == 6 and (got[got.burst_id == 0].selection_rank.notna()).sum() == 4
+    assert (got[got.selection_rank.isna()].rejection_reasons == "burst_selection_limit").all()
+    assert select.selection_summary(select.select_cycles(df, 10, 4), 10).first() == (8, 6, 4)
+
+
+def test_validation_block_needs_neighbours(spark):
+    counts = [(1, 3), (2, 0), (3, 1), (4, 5), (5, 5), (6, 5)]
+    df = spark.createDataFrame([(c, 1, at(c), n) for c, n in counts], "cycle_id bigint, session_id bigint, start_time timestamp_ntz, x_sample_count bigint")
+    q = select.validation_quality(df, ["x"], {"x": 2})
+    assert [r.rejection_reason for r in q.orderBy("cycle_id").collect()] == ["", "missing required signals", "insufficient samples for required signals", "", "", ""]
+    assert [r.cycle_id for r in select.validation_cycles(q, 2).collect()] == [4, 5]
+    assert [r.cycle_id for r in select.validation_cycles(q, 2, False).collect()] == [1, 4]
+    for bad in ({"count": 4}, {"count": 0}, {"count": 9, "consecutive": False}):
+        with pytest.raises(ValueError):
+            select.validation_cycles(q, **bad)
+
+
+def test_nearest_keeps_repeated_points_apart(spark):
+    points = spark.createDataFrame([(1, at(10)), (1, at(10)), (None, at(19)), (2, None)], "point_id bigint, at timestamp_ntz")
+    samples = spark.createDataFrame([(at(10), 1.0), (at(20), 2.0)], "time timestamp_ntz, value double")
+    got = sorted((r.point_id or 0, r.nearest_value or 0) for r in temporal.nearest(points, samples, "at").collect())
+    assert got == [(0, 2.0), (1, 1.0), (1, 1.0), (2, 0)]
+    assert temporal.nearest(points, samples.limit(0), "at").where("nearest_value IS NULL").count() == 4
+
+
+def test_ordered_edge_cases(spark):
+    df = spark.createDataFrame([(None, at(1), 5.0, "x"), (None, at(1), 5.0, "x"), ("k", None, 1.0, "y")], "k string, time timestamp_ntz, v double, __bucket string")
+    got = ordered.scan(df, ["k"], ["time", "v"], {"p": "v"}, {"n": F.lit(1)})
+    assert got.columns == ["k", "time", "v", "__bucket", "p", "n"]
+    assert sorted((r.p or 0, r.n) for r in got.collect()) == [(0, 1), (0, 1), (5.0, 2)]
+    assert ordered.scan(df.limit(0), [], ["time"], {"p": "v"}, {"n": F.lit(1)}).count() == 0
+    assert temporal.gap_statistics(temporal.gap_histogram(temporal.gaps(df.limit(0), [], ["time"]))).first().gap_count is None
