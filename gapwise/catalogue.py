@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .functions.expr import contains_folded, finite, leaf, parts, slug
 from .operators import catalog, coverage, extract, profile, relational, rules, select, temporal, tensors
+from .plans import dataset
 from .plans.storage import freeze
 from .sources import measurements as store
 from .streaming import sessions as stream
@@ -290,6 +291,50 @@ def evenly_spaced_sample(spark, d):
     return temporal.evenly_spaced(clicks(spark, d), ORDER, 500).select("event_id")
 
 
+@query(f"""WITH {_CYC}, f AS (SELECT * FROM cyc ORDER BY start_time, cycle_id LIMIT 5), b AS (SELECT min(start_time) - INTERVAL 1 SECOND AS a, arg_max(end_time, (start_time, cycle_id)) + INTERVAL 1 SECOND AS z FROM f)
+SELECT event_id, time FROM cl, b WHERE time BETWEEN a AND z""")
+def validation_subset(spark, d):
+    return temporal.around(clicks(spark, d), found_cycles(spark, d), 5)[0].select("event_id", "time")
+
+
+@query(f"""WITH {_EV}, g AS (SELECT signal_name, date_diff('microsecond', lag(time) OVER (PARTITION BY signal_name ORDER BY time, event_id), time) / 1e3 AS ms FROM ev)
+SELECT signal_name, count(*) AS row_count, round(min(ms), 6) AS minimum_interval_ms, round(median(ms), 6) AS median_interval_ms, round(max(ms), 6) AS maximum_interval_ms FROM g GROUP BY 1""")
+def interval_summary(spark, d):
+    return rounded(temporal.interval_summary(temporal.gaps(events(spark, d), ["signal_name"], ORDER), ["signal_name"]))
+
+
+_BY_TYPE = f"""{_EV}, g AS (SELECT *, date_diff('microsecond', lag(time) OVER (PARTITION BY signal_name ORDER BY time, value), time) AS gap_us FROM ev WHERE time IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)),
+t AS (SELECT *, 1 + sum(CASE WHEN gap_us > 7200000000 THEN 1 ELSE 0 END) OVER (PARTITION BY signal_name ORDER BY time, value) AS session_id FROM g),
+ses AS (SELECT signal_name, session_id, date_diff('microsecond', min(time), max(time)) / 1e6 AS duration_seconds, count(*) AS n, coalesce(max(gap_us) FILTER (WHERE gap_us <= 7200000000), 0) / 1e6 AS internal FROM t GROUP BY 1, 2)"""
+_KEYED = "signal_name AS experiment, signal_name AS signal_id_uuid"
+
+
+def report(spark, d):
+    """Each event type plays the reference signal of an experiment of its own; one that is in no table has no samples."""
+    rows = events(spark, d).withColumns({"experiment": F.col("signal_name"), "signal_id_uuid": F.col("signal_name")})
+    names = spark.createDataFrame([(s, s) for s in [*SIGNALS, "absent"]], "experiment string, signal_id_uuid string")
+    return dataset.sampling_and_sessions(rows.select("experiment", "signal_id_uuid", "time", "value"), names, GAP)
+
+
+@query(f"""WITH {_BY_TYPE} SELECT {_KEYED}, count(*) AS number_of_samples, round(min(gap_us) / 1e6, 6) AS minimum_gap_seconds, round(quantile_cont(gap_us / 1e6, 0.5), 6) AS median_gap_seconds, round(avg(gap_us) / 1e6, 6) AS mean_gap_seconds,
+round(quantile_cont(gap_us / 1e6, 0.95), 6) AS percentile_95_gap_seconds, round(quantile_cont(gap_us / 1e6, 0.99), 6) AS percentile_99_gap_seconds, round(max(gap_us) / 1e6, 6) AS maximum_gap_seconds FROM g GROUP BY signal_name
+UNION ALL SELECT 'absent', 'absent', 0, NULL, NULL, NULL, NULL, NULL, NULL""")
+def experiment_sampling(spark, d):
+    return rounded(report(spark, d)[0])
+
+
+@query(f"""WITH {_BY_TYPE} SELECT {_KEYED}, count(*) AS number_of_sessions, round(min(duration_seconds), 6) AS minimum_duration_seconds, round(median(duration_seconds), 6) AS median_duration_seconds, round(max(duration_seconds), 6) AS maximum_duration_seconds,
+min(n) AS minimum_samples, round(median(n), 6) AS median_samples, max(n) AS maximum_samples, round(max(internal), 6) AS maximum_internal_gap_seconds FROM ses GROUP BY signal_name
+UNION ALL SELECT 'absent', 'absent', 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL""")
+def experiment_sessions(spark, d):
+    return rounded(report(spark, d)[2])
+
+
+@query(f"""WITH {_BY_TYPE}, r AS (SELECT signal_name AS experiment, count(*) AS n FROM g GROUP BY 1 UNION ALL SELECT 'absent', 0) SELECT experiment, place, metric, CASE WHEN metric = 'signal_id_uuid' THEN experiment ELSE CAST(n AS VARCHAR) END AS value FROM r, (VALUES (0, 'signal_id_uuid'), (1, 'number_of_samples')) m(place, metric)""")
+def gap_report_rows(spark, d):
+    return dataset.gap_report(report(spark, d)[0]).where("place < 2").withColumn("place", F.col("place").cast("int"))
+
+
 # E: extraction and profile -------------------------------------------------------------------------------------------
 
 
@@ -304,6 +349,13 @@ def window_summary(spark, d):
     return rounded(extract.window_summary(found, cyc, events(spark, d).select("signal_name")))
 
 
+@query(f"""WITH {_IN}, p AS (SELECT cycle_id, row_number() OVER (ORDER BY start_time, session_id, cycle_id) AS i FROM cyc), wr AS (SELECT cycle_id, count(*) AS n FROM x GROUP BY 1)
+SELECT CAST((i - 1) // 50 AS BIGINT) AS batch_id, count(*) AS cycle_count, arg_min(cycle_id, i) AS first_cycle_id, arg_max(cycle_id, i) AS last_cycle_id, CAST(coalesce(sum(n), 0) AS BIGINT) AS written_rows FROM p LEFT JOIN wr USING (cycle_id) GROUP BY 1""")
+def batch_summary(spark, d):
+    found, cyc = inside(spark, d)
+    return extract.batch_summary(found, cyc, 50)
+
+
 _QCOLS = ("duration_seconds", "maximum_timestamp_gap", "mean_timestamp_gap", "median_sampling_interval", "mean_value", "standard_deviation", "minimum_value", "maximum_value", "median_value", "signal_range", "estimated_sampling_rate", "coverage_ratio")
 
 
@@ -499,6 +551,16 @@ def cycle_burst(spark, d):
     return select.first_burst(b, found_cycles(spark, d)).select("cycle_id", "burst_id")
 
 
+@query(f"""WITH {_IN}, ses AS (SELECT session_id, min(time) AS a, max(time) AS z FROM s GROUP BY 1), vb AS (SELECT time, CAST(sum(CASE WHEN gap_us > 1800000000 THEN 1 ELSE 0 END) OVER (ORDER BY time, event_id) AS BIGINT) AS burst_id FROM (SELECT *, date_diff('microsecond', lag(time) OVER (ORDER BY time, event_id), time) AS gap_us FROM ev WHERE signal_name = 'view')),
+p AS (SELECT cycle_id, session_id, CAST(CASE WHEN date_diff('microsecond', a, z) > 0 THEN least(greatest(floor(date_diff('microsecond', a, start_time) / date_diff('microsecond', a, z) * 5), 0), 4) ELSE 0 END AS BIGINT) AS stratum,
+ coalesce((SELECT arg_min(burst_id, vb.time) FROM vb WHERE vb.time BETWEEN c.start_time AND c.end_time), -1) AS burst_id FROM cyc c JOIN ses USING (session_id) WHERE cycle_id <= 200)
+SELECT 'session' AS kind, session_id AS id, count(*) AS cycles FROM p GROUP BY 2 UNION ALL SELECT 'time_stratum', stratum, count(*) FROM p GROUP BY 2 UNION ALL SELECT 'vibration_burst', burst_id, count(*) FROM p GROUP BY 2""")
+def selection_counts(spark, d):
+    b = temporal.bursts(events(spark, d).where("signal_name = 'view'"), [], ORDER, 1800.0)
+    some = select.time_strata(select.first_burst(b, found_cycles(spark, d)), found_sessions(spark, d), 5)
+    return select.selection_counts(some.withColumn("selection_rank", F.when(F.col("cycle_id") <= 200, F.col("cycle_id"))))
+
+
 @query()
 def selected_cycles(spark, d):
     """Seeded: rows are checked by count and by tests."""
@@ -557,6 +619,37 @@ def session_coverage(spark, d):
     return rounded(coverage.session_coverage(events(spark, d), found_sessions(spark, d)))
 
 
+_DAYS = "dy AS (SELECT signal_name, count(*) AS row_count, min(time) AS min_time, max(time) AS max_time FROM ev GROUP BY signal_name, date_trunc('day', time))"
+
+
+@query(f"""WITH {_SES}, {_DAYS}, hit AS (SELECT DISTINCT signal_name, session_id FROM dy JOIN ses ON min_time <= end_time AND max_time >= start_time)
+SELECT signal_name, min(min_time) AS first_raw_timestamp, max(max_time) AS last_raw_timestamp, CAST(coalesce(sum(row_count), 0) AS BIGINT) AS raw_sample_count,
+coalesce((SELECT string_agg(CAST(session_id AS VARCHAR), ',' ORDER BY session_id) FROM hit WHERE hit.signal_name = n.signal_name), '') AS detected_session_ids
+FROM (SELECT unnest({[*SIGNALS, "absent"]!r}) AS signal_name) n LEFT JOIN dy USING (signal_name) GROUP BY signal_name""")
+def signal_time_coverage(spark, d):
+    days = events(spark, d).groupBy("signal_name", F.date_trunc("DAY", "time").alias("day")).agg(F.count("*").alias("row_count"), F.min("time").alias("min_time"), F.max("time").alias("max_time"))
+    names = spark.createDataFrame([(s,) for s in [*SIGNALS, "absent"]], "signal_name string")
+    return coverage.signal_time_coverage(names, days, found_sessions(spark, d)).drop("session_start_times", "session_end_times")
+
+
+@query(f"""WITH {_SUM} SELECT cycle_id, session_id, start_time, end_time, bool_or(signal_name = 'signup' AND NOT is_missing) AS signup_overlap, bool_or(signal_name = 'view' AND NOT is_missing) AS view_overlap,
+bool_or(signal_name IN ('signup', 'view') AND NOT is_missing) AS any_vibration_axis_overlap FROM summ JOIN (SELECT cycle_id, start_time, end_time FROM cyc) USING (cycle_id) GROUP BY ALL""")
+def cycle_overlap(spark, d):
+    found, cyc = inside(spark, d)
+    summary = extract.window_summary(found, cyc, events(spark, d).select("signal_name"))
+    return coverage.cycle_overlap(cyc, summary, ["signup", "view"])
+
+
+@query(f"""WITH RECURSIVE {_PATHS}, o AS (SELECT o_custkey, count(*) AS n, min(o_orderdate) AS a, max(o_orderdate) AS z FROM orders GROUP BY 1)
+SELECT path, 'int' AS source, CAST(NULL AS VARCHAR) AS signal_id_uuid, c_custkey AS signal_id, coalesce(contains(lower(path), 'europe'), false) AS belongs_to_current_experiment, coalesce(path LIKE 'ASIA/%' AND c_custkey < 50, false) AS currently_selected_for_extraction,
+a AS first_raw_timestamp, z AS last_raw_timestamp, coalesce(n, 0) AS raw_sample_count FROM customer LEFT JOIN paths ON node_id = 'C' || c_custkey LEFT JOIN o ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'""")
+def signal_candidates(spark, d):
+    known = catalog.signal_catalogue(signals(spark, d), catalog.node_paths(nodes(spark, d)), units(spark, d)).withColumn("source", F.lit("int"))
+    bounds = read(spark, d, "orders").groupBy(F.col("o_custkey").cast("string").alias("key")).agg(F.count("*").alias("row_count"), F.min("o_orderdate").alias("min_time"), F.max("o_orderdate").alias("max_time"))
+    chosen = [r["path"] for r in known.where("path LIKE 'ASIA/%' AND signal_id < 50").select("path").collect()]
+    return coverage.signal_candidates(known, bounds.withColumn("source", F.lit("int")), "Europe", chosen, "BUILDING")
+
+
 for _name, (_build, _sql) in relational.CATALOGUE.items():
     QUERIES[_name] = _build
     ORACLES[_name] = _sql

@@ -1,11 +1,16 @@
-"""Command line: ``python -m gapwise.cli --config run.yaml [overrides]``.  Overrides win over the file, the file over defaults."""
+"""Command line.  Overrides win over the file, the file over defaults.
+
+``python -m gapwise.cli --config run.yaml [overrides]`` runs the pipeline, ``--report`` writes the reports over the whole dataset to
+``output`` instead, ``--diagnose`` the coverage of the experiment's signals in the given or latest run.
+"""
 
 from __future__ import annotations
 
 import argparse
 
+from .plans import dataset
 from .plans.config import from_mapping, load_yaml
-from .plans.pipeline import run_pipeline, strict_json
+from .plans.pipeline import latest_run, run_pipeline, strict_json
 
 
 def parser() -> argparse.ArgumentParser:
@@ -16,6 +21,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--movement-threshold", type=float)
     p.add_argument("--cycle-limit", type=int)
     p.add_argument("--write-features", action="store_true", default=None)
+    p.add_argument("--report", action="store_true", default=None)
+    p.add_argument("--diagnose", action="store_true", default=None)
+    p.add_argument("--cycles", type=int, help="how many leading cycles --diagnose looks at")
     return p
 
 
@@ -28,8 +36,20 @@ def settings(argv: list[str] | None = None) -> dict:
 def main(argv: list[str] | None = None) -> None:
     from pyspark.sql import SparkSession
 
-    config = from_mapping(settings(argv))
+    values = settings(argv)
     spark = SparkSession.builder.appName("gapwise").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if values.get("report"):
+        report = dataset.analyse(spark, values["dataset"])
+        dataset.write_report(report, values["output"])
+        print(dataset.text_report(report))
+        return
+    config = from_mapping(values)
+    if values.get("diagnose"):
+        run = latest_run(spark, config.output, config.experiment, config.run_id)
+        core, axes = [*config.rules.core, *config.rules.vibration], list(config.rules.vibration)
+        dataset.diagnose(spark, config.dataset, config.experiment, run, f"{run}/diagnostics", core, axes, values.get("cycles", 100), list(config.selected_signals))
+        print(f"{run}/diagnostics")
+        return
     print(strict_json(run_pipeline(spark, config)))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import finite
+from ..functions.ordered import scan
 from .temporal import interval_join
 
 
@@ -27,6 +28,20 @@ def window_summary(measurements: DataFrame, cycles: DataFrame, signals: DataFram
     return out.select("session_id", "cycle_id", "signal_name", zero("sample_count"), zero("finite_sample_count"), "first_time", "last_time", "minimum_value", "maximum_value", F.col("sample_count").isNull().alias("is_missing"))
 
 
+def batch_summary(measurements: DataFrame, cycles: DataFrame, batch: int) -> DataFrame:
+    """batch_id (from 0), cycle_count, first_cycle_id, last_cycle_id, written_rows: batches of so many cycles by start.
+
+    Rows are counted by cycle before they meet the cycles, so a long cycle costs no more than a short one; a batch without
+    samples has zero rows, no cycles give no batches.
+    """
+    places = scan(cycles.select("session_id", "cycle_id", "start_time"), [], ["start_time", "session_id", "cycle_id"], sums={"__i": F.lit(1)})
+    rows = measurements.groupBy("cycle_id").agg(F.count("*").alias("__n"))
+    out = places.withColumn("batch_id", F.floor((F.col("__i") - 1) / batch).cast("bigint")).join(rows, "cycle_id", "left")
+    return out.groupBy("batch_id").agg(
+        F.count("*").alias("cycle_count"), F.min_by("cycle_id", "__i").alias("first_cycle_id"), F.max_by("cycle_id", "__i").alias("last_cycle_id"), F.coalesce(F.sum("__n"), F.lit(0)).alias("written_rows"),
+    )
+
+
 def fingerprint(cycles: DataFrame, experiment: str, signals: list[str], batch: int) -> str:
     """Names a write by its settings and cycles; a different one must not resume it."""
     row = cycles.agg(F.count("*").alias("n"), F.min("cycle_id").alias("lo"), F.max("cycle_id").alias("hi"), F.sum("cycle_id").alias("sum")).first()

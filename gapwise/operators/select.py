@@ -88,6 +88,16 @@ def selection_summary(picked: DataFrame, target: int) -> DataFrame:
     return picked.agg(F.count("*").alias("eligible_cycles_found"), taken.alias("selected_cycles"), F.greatest(F.lit(0), F.lit(target) - taken).cast("bigint").alias("selection_shortfall"))
 
 
+def selection_counts(picked: DataFrame) -> DataFrame:
+    """kind (session, time_stratum, vibration_burst), id, cycles: sizes of the selection's groups, in one shuffle of partial counts.
+
+    Only selected cycles count; without any the result is empty.
+    """
+    kinds = {"session": "session_id", "time_stratum": "stratum", "vibration_burst": "burst_id"}
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).cast("bigint").alias("id")) for k, c in kinds.items()])).alias("x")
+    return picked.where("selection_rank IS NOT NULL").select(each).groupBy("x.kind", "x.id").agg(F.count("*").alias("cycles"))
+
+
 def candidate_evaluation(counted: DataFrame, signals: list[str], minimum: int) -> DataFrame:
     """Adds eligible and rejection_reasons: an interval code alone, else the first failing code of each signal in order."""
     codes = [

@@ -9,6 +9,7 @@ have no gap (``clean`` drops both).  ``interval_join`` keeps the windows' column
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -31,11 +32,11 @@ def gap_histogram(gapped: DataFrame, keys: list[str] | None = None) -> DataFrame
     return gapped.where("gap_us IS NOT NULL").groupBy(*(keys or []), "gap_us").agg(F.count("*").alias("gap_count"))
 
 
-def gap_statistics(histogram: DataFrame) -> DataFrame:
-    """One row of statistics from the compressed gaps, in seconds; quantiles interpolate linearly."""
+def gap_statistics(histogram: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """One row of statistics a sequence from the compressed gaps, in seconds; quantiles interpolate linearly."""
     s = F.col("gap_us") / 1e6
     q = lambda p: F.percentile(s, F.lit(p), F.col("gap_count"))
-    return histogram.agg(
+    return histogram.groupBy(*(keys or [])).agg(
         F.sum("gap_count").alias("gap_count"),
         F.min(s).alias("minimum_gap_seconds"),
         F.max(s).alias("maximum_gap_seconds"),
@@ -83,9 +84,9 @@ def summarise_sessions(tagged: DataFrame, keys: list[str], time: str, gap_second
     return out.select(*keys, "session_id", "start_time", "end_time", seconds("start_time", "end_time").alias("duration_seconds"), "number_of_samples", "maximum_internal_gap_seconds")
 
 
-def session_summary(found: DataFrame) -> DataFrame:
-    """One row over all sessions, also when there are none."""
-    return found.agg(
+def session_summary(found: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """One row over all sessions, also when there are none; with keys one row for each sequence that has sessions."""
+    return found.groupBy(*(keys or [])).agg(
         F.count("*").alias("session_count"),
         F.min("duration_seconds").alias("minimum_duration_seconds"), F.median("duration_seconds").alias("median_duration_seconds"), F.max("duration_seconds").alias("maximum_duration_seconds"),
         F.min("number_of_samples").alias("minimum_samples"), F.median("number_of_samples").alias("median_samples"), F.max("number_of_samples").alias("maximum_samples"),
@@ -170,16 +171,36 @@ def interval_join(samples: DataFrame, windows: DataFrame, time: str = "time", st
     return left.drop(*clash).join(right, [*keys, "__slot"]).where((F.col(time) >= F.col(start)) & (F.col(time) <= F.col(end))).drop("__slot")
 
 
-def overlap_exists(left: DataFrame, right: DataFrame, start: str = "start_time", end: str = "end_time", bucket_seconds: int = 86400) -> DataFrame:
-    """Rows of ``left`` whose closed interval meets one of ``right`` (whose columns are min_time, max_time)."""
+def overlap_exists(left: DataFrame, right: DataFrame, start: str = "start_time", end: str = "end_time", bucket_seconds: int = 86400, keys: list[str] | None = None) -> DataFrame:
+    """Rows of ``left`` whose closed interval meets one of ``right`` (whose columns are min_time, max_time) with equal keys."""
     base = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     slots = lambda a, b: F.explode(F.sequence(F.floor(F.timestamp_diff("SECOND", base, F.col(a)) / bucket_seconds), F.floor(F.timestamp_diff("SECOND", base, F.col(b)) / bucket_seconds)))
-    cut = right.select("min_time", "max_time").where("min_time <= max_time").withColumn("__slot", slots("min_time", "max_time"))
+    cut = right.select(*(keys or []), "min_time", "max_time").where("min_time <= max_time").withColumn("__slot", slots("min_time", "max_time"))
     keyed = left.where(F.col(start) <= F.col(end)).withColumn("__slot", slots(start, end))
-    hit = keyed.join(cut, (keyed["__slot"] == cut["__slot"]) & (F.col("min_time") <= F.col(end)) & (F.col("max_time") >= F.col(start)), "left_semi")
+    same = reduce(lambda a, b: a & b, [keyed[k] == cut[k] for k in [*(keys or []), "__slot"]])
+    hit = keyed.join(cut, same & (F.col("min_time") <= F.col(end)) & (F.col("max_time") >= F.col(start)), "left_semi")
     return hit.drop("__slot").distinct()
 
 
+def around(samples: DataFrame, cycles: DataFrame, first: int = 100, margin_seconds: int = 1, time: str = "time") -> tuple[DataFrame, DataFrame]:
+    """The first cycles by start, at most ``first``, and the samples from a margin before the first start to one after the last's end.
+
+    Both bounds are closed and reach the scan as plain comparisons.  Without cycles there are no samples either.
+    """
+    some = cycles.orderBy("start_time", "cycle_id").limit(first)  # the limit is the operator's own
+    ends = some.agg(F.min("start_time").alias("a"), F.max_by("end_time", F.struct("start_time", "cycle_id")).alias("z")).first()
+    if ends["a"] is None:
+        return samples.where(F.lit(False)), some
+    bound = lambda t, sign: F.lit(t + sign * timedelta(seconds=margin_seconds)).cast("timestamp_ntz")
+    return samples.where((F.col(time) >= bound(ends["a"], -1)) & (F.col(time) <= bound(ends["z"], 1))), some
+
+
+def interval_summary(gapped: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Rows, and least, median and greatest sampling interval in milliseconds; an empty table gives zero and nulls."""
+    ms = F.col("gap_us") / 1e3
+    return gapped.groupBy(*(keys or [])).agg(F.count("*").alias("row_count"), F.min(ms).alias("minimum_interval_ms"), F.median(ms).alias("median_interval_ms"), F.max(ms).alias("maximum_interval_ms"))
+
+
 def merge_intervals(df: DataFrame, keys: list[str], gap_seconds: float, start: str = "start_time", end: str = "end_time") -> DataFrame:
     """Islands of intervals that overlap or lie at most the gap apart."""
     w = Window.partitionBy(*keys).orderBy(start, end)

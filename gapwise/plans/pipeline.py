@@ -6,8 +6,6 @@ a run can stop after any stage, rules are frozen before they are applied, and a
 
 from __future__ import annotations
 
-import csv
-import io
 import json
 from datetime import datetime, timezone
 
@@ -17,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import catalog, extract, profile, rules, temporal, tensors
 from ..sources import measurements as store
 from ..sources import metadata
-from .storage import freeze
+from .storage import freeze, read_text, write_csv, write_text
 from .config import FOLDERS, PipelineConfig, Stage
 
 
@@ -36,15 +34,6 @@ def strict_json(value) -> str:
     return json.dumps(clean(value), sort_keys=True, allow_nan=False, indent=2)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
-    try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-
-
 class Run:
     """One run's folder, tables and manifest."""
 
@@ -58,10 +47,7 @@ class Run:
         return f"{self.root}/{FOLDERS.get(stage, stage.value)}"
 
     def csv(self, stage: Stage, name: str, df: DataFrame) -> None:
-        """One CSV file of a table whose rows are bounded by signals, metrics and codes."""
-        out = io.StringIO()
-        csv.writer(out).writerows([df.columns, *df.collect()])
-        write_text(self.spark, f"{self.folder(stage)}/{name}.csv", out.getvalue())
+        write_csv(df, f"{self.folder(stage)}/{name}.csv")
 
     def json(self, stage: Stage, name: str, value) -> None:
         write_text(self.spark, f"{self.folder(stage)}/{name}.json", strict_json(value))
@@ -111,10 +97,12 @@ def _stages(run: Run):
     at = Stage.SIGNAL_DISCOVERY
     uuid = catalog.signal_catalogue(metadata.canonical_uuid_signals(meta.uuid_signals), paths, meta.units)
     ints = catalog.signal_catalogue(metadata.canonical_int_signals(meta.int_signals), paths, meta.units)
-    signals = run.table(at, "experiment_signals", catalog.experiment_signals(uuid, ints, config.experiment, config.exact_experiment))
+    signals = catalog.experiment_signals(uuid, ints, config.experiment, config.exact_experiment)
+    signals = run.table(at, "experiment_signals", signals.withColumn("is_reference_signal", F.col("signal_name") == config.reference_signal))
     if not signals.head(1):
         raise ValueError(f"no signals for experiment {config.experiment!r}")
-    reference = catalog.exactly_one(signals.where(F.col("signal_name") == config.reference_signal), f"signal {config.reference_signal!r}")
+    run.csv(at, "experiment_signals", signals)
+    reference = catalog.exactly_one(signals.where("is_reference_signal"), f"signal {config.reference_signal!r}")
     yield at
     if stop(at):
         return
@@ -132,7 +120,7 @@ def _stages(run: Run):
 
     at = Stage.SESSION_DETECTION
     tagged = freeze(temporal.session_ids(samples, [], order, config.session_gap_seconds))
-    run.table(at, "sessions", temporal.summarise_sessions(tagged, [], "time", config.session_gap_seconds))
+    run.csv(at, "sessions", run.table(at, "sessions", temporal.summarise_sessions(tagged, [], "time", config.session_gap_seconds)).orderBy("session_id"))
     yield at
     if stop(at):
         return
@@ -165,6 +153,7 @@ def _stages(run: Run):
 
     found = extract.read_store(spark, run.folder(at), MEASUREMENTS)
     run.table(at, "signal_window_summary", extract.window_summary(found, cycles, signals))
+    run.table(at, "batch_summary", extract.batch_summary(found, cycles, config.cycles_per_file))
     yield at
     if stop(at):
         return
@@ -216,3 +205,27 @@ def _stages(run: Run):
         run.table(at, "length_statistics", tensors.length_statistics(tensors.cycle_lengths(some, config.tensor_signals[0]), length))
         run.table(at, "skipped", made.where("skip_reason IS NOT NULL").select("cycle_id", "skip_reason"))
     yield at
+
+
+def latest_run(spark: SparkSession, output: str, experiment: str, run: str | None = None) -> str:
+    """The folder of the given run, else of the newest by name that holds a window summary, else of the newest.
+
+    No run at all raises ``FileNotFoundError``.
+    """
+    root = f"{output.rstrip('/')}/{experiment}"
+    if run is not None:
+        return f"{root}/{run}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted((s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()), reverse=True) if fs.exists(at) else []
+    if not names:
+        raise FileNotFoundError(f"no runs under {root}")
+    summary = f"{FOLDERS[Stage.MULTI_SENSOR_EXTRACTION]}/signal_window_summary"
+    whole = (n for n in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/{summary}")))
+    return f"{root}/{next(whole, names[0])}"
+
+
+def frozen_thresholds(spark: SparkSession, run: str) -> list[dict]:
+    """The thresholds that a run froze as JSON; none where it wrote none."""
+    text = read_text(spark, f"{run.rstrip('/')}/{Stage.VALIDATION_RULE_GENERATION.value}/validation_thresholds.json")
+    return json.loads(text).get("thresholds", []) if text else []

@@ -55,6 +55,21 @@ def uuid_signal(spark: SparkSession, base: str, signal_id: str, start=None, end=
     return samples(bounded_scan(df, start, end, allow_full_scan, F.col("signal_id") == signal_id))
 
 
+def uuid_signals(spark: SparkSession, base: str, signal_ids: list[str]) -> DataFrame:
+    """Several signals of the UUID store over their whole time: their partition directories alone are listed."""
+    df = spark.read.schema("time timestamp_ntz, value double, signal_id string").parquet(f"{base.rstrip('/')}/{UUID_STORE}")
+    return samples(df.where(F.col("signal_id").isin(signal_ids) if signal_ids else F.lit(False)))
+
+
+def partition_path(spark: SparkSession, base: str, source: str, key: str | int | None) -> str | None:
+    """The partition directory of one signal, None where the id is null or the store has no such partition."""
+    if key is None:
+        return None
+    path = f"{base.rstrip('/')}/{UUID_STORE if source == 'uuid' else INT_STORE}/signal_id={key}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at) else None
+
+
 def int_signal(spark: SparkSession, base: str, signal_id: int, start=None, end=None, allow_full_scan: bool = False) -> DataFrame:
     """One signal of the integer store, whose id is also a physical column."""
     df = spark.read.schema("time timestamp_ntz, value double, signal_id bigint").parquet(f"{base.rstrip('/')}/{INT_STORE}")
@@ -75,10 +90,22 @@ def time_coverage(df: DataFrame, keys: list[str], time: str = "time") -> DataFra
 
 
 def row_group_bounds(spark: SparkSession, path: str, time: str = "time") -> DataFrame:
-    """Row-group statistics from Parquet footers, one task a file set; data pages are not read.
+    """Row-group statistics from Parquet footers, in tasks over the files.
 
-    Files are fetched through Spark's own binary reader, so any path that Spark opens will do.
+    Spark lists the files and each task seeks to the footers, so data pages are not read and files may have any size.  Where pyarrow
+    does not know the path's scheme, Spark's binary reader hands over whole files instead (at most 2 GB each).
     """
+    from pyarrow import ArrowInvalid
+    from pyarrow.fs import FileSystem
+
+    def split(name: str) -> str:
+        return "file://" + name[5:] if name.startswith("file:/") and not name.startswith("file://") else name
+
+    try:
+        FileSystem.from_uri(split(path))
+        seekable = True
+    except (ArrowInvalid, NotImplementedError, OSError):
+        seekable = False
 
     def run(batches):
         import io
@@ -89,7 +116,11 @@ def row_group_bounds(spark: SparkSession, path: str, time: str = "time") -> Data
         for batch in batches:
             out = []
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                meta = pq.ParquetFile(io.BytesIO(content)).metadata
+                if seekable:
+                    system, at = FileSystem.from_uri(split(name))
+                    meta = pq.read_metadata(at, filesystem=system)
+                else:
+                    meta = pq.read_metadata(io.BytesIO(content))
                 for g in range(meta.num_row_groups):
                     group = meta.row_group(g)
                     stats = next((group.column(i).statistics for i in range(group.num_columns) if group.column(i).path_in_schema == time), None)
@@ -100,7 +131,7 @@ def row_group_bounds(spark: SparkSession, path: str, time: str = "time") -> Data
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names=["file", "row_group", "row_count", "min_time", "max_time"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInArrow(run, "file string, row_group int, row_count bigint, min_time timestamp_ntz, max_time timestamp_ntz")
+    return files.select("path", F.lit(None).cast("binary").alias("content") if seekable else F.col("content")).mapInArrow(run, "file string, row_group int, row_count bigint, min_time timestamp_ntz, max_time timestamp_ntz")
 
 
 def session_bounds(cycles: DataFrame) -> DataFrame:

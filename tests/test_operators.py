@@ -199,3 +199,25 @@ def test_ordered_edge_cases(spark):
     assert sorted((r.p or 0, r.n) for r in got.collect()) == [(0, 1), (0, 1), (5.0, 2)]
     assert ordered.scan(df.limit(0), [], ["time"], {"p": "v"}, {"n": F.lit(1)}).count() == 0
     assert temporal.gap_statistics(temporal.gap_histogram(temporal.gaps(df.limit(0), [], ["time"]))).first().gap_count is None
+
+
+def test_batches_and_selection_counts(spark):
+    cycles = spark.createDataFrame([(1, i, at(i)) for i in range(1, 6)], "session_id bigint, cycle_id bigint, start_time timestamp_ntz")
+    found = spark.createDataFrame([(1,), (1,), (2,), (5,)], "cycle_id bigint")
+    got = extract.batch_summary(found, cycles, 2).orderBy("batch_id").collect()
+    assert [tuple(r) for r in got] == [(0, 2, 1, 2, 3), (1, 2, 3, 4, 0), (2, 1, 5, 5, 1)]
+    assert extract.batch_summary(found, cycles.limit(0), 2).count() == 0
+    picked = spark.createDataFrame([(1, 0, -1, 1), (1, 1, 7, 2), (2, 1, 7, 3), (2, 1, 7, None)], "session_id bigint, stratum bigint, burst_id bigint, selection_rank bigint")
+    assert sorted(tuple(r) for r in select.selection_counts(picked).collect()) == [("session", 1, 2), ("session", 2, 1), ("time_stratum", 0, 1), ("time_stratum", 1, 2), ("vibration_burst", -1, 1), ("vibration_burst", 7, 2)]
+    assert select.selection_counts(picked.limit(0)).count() == 0
+
+
+def test_samples_around_the_first_cycles(spark, position):
+    cycles = spark.createDataFrame([(1, at(1), at(2)), (2, at(7200.5), at(7201))], "cycle_id bigint, start_time timestamp_ntz, end_time timestamp_ntz")
+    got, some = temporal.around(position, cycles, 1)
+    assert got.count() == 6 and some.count() == 1  # both margins are closed: 0 to 3
+    got, some = temporal.around(position, cycles.limit(0))
+    assert got.count() == 0 and some.count() == 0
+    r = temporal.interval_summary(temporal.gaps(position, [], ["time", "value"])).first()
+    assert tuple(r) == (9, 500.0, 500.0, 7197500.0)
+    assert tuple(temporal.interval_summary(temporal.gaps(position.limit(0), [], ["time", "value"])).first()) == (0, None, None, None)

@@ -6,8 +6,9 @@ from datetime import datetime, timedelta
 import pytest
 
 from gapwise.operators import extract
+from gapwise.plans import dataset as reports
 from gapwise.plans.config import PipelineConfig, Stage, from_mapping, stage
-from gapwise.plans.pipeline import run_pipeline, strict_json
+from gapwise.plans.pipeline import frozen_thresholds, latest_run, run_pipeline, strict_json
 from gapwise.operators.rules import RuleConfig
 
 T0 = datetime(2026, 1, 1)
@@ -56,6 +57,10 @@ def test_whole_run(spark, dataset, tmp_path):
     assert [r["rule_type"] for r in found] == ["hard_interval_order", "hard_positive_duration", "hard_signal_presence", "hard_finite_required", "hard_finite_required"]
     assert json.load(open(root / "dataset_validation/validation_summary.json")) == {"valid_core_cycle": 1, "invalid_cycle": 1}
     assert (root / "dataset_validation/validation_reason_summary.csv").read_text().splitlines()[0] == "reason,reason_count"
+    marked = {r.signal_name: r.is_reference_signal for r in read("signal_discovery", "experiment_signals").collect()}
+    assert marked == {"position": True, "temperature": False, "sensor_a": False}
+    assert [tuple(r) for r in read("multi_sensor_extraction", "batch_summary").collect()] == [(0, 2, 1, 2, 9)]
+    assert latest_run(spark, str(tmp_path), "ExperimentAlpha") == str(root) and len(frozen_thresholds(spark, str(root))) == len(found)
     t = read("feature_engineering", "tensors").collect()
     assert len(t) == 1 and t[0]["values"] == [[2.0, 2.0, 0.0], [20.5, 20.5, 20.5]] and t[0]["mask"] == [[1, 1, 1], [1, 0, 0]]
 
@@ -101,3 +106,37 @@ def test_settings_and_strict_json():
     with pytest.raises(ValueError):
         from_mapping({"dataset": "d", "experiment": "e", "output": "o", "session_gap_seconds": 0})
     assert json.loads(strict_json({"b": float("nan"), "a": [float("inf"), 1]})) == {"a": [None, 1], "b": None}
+
+
+def test_report_over_the_dataset(spark, dataset, tmp_path):
+    report = reports.analyse(spark, dataset)
+    assert [r[0] for r in report.experiments.collect()] == ["Drive", "Sensor A", "Temperature"]  # the second level of the paths
+    assert {r.experiment: r.signals_found for r in report.skipped.collect()} == {"Sensor A": 0, "Temperature": 0}
+    r = report.sampling.first()
+    assert (r.experiment, r.signal_id_uuid, r.number_of_samples, r.median_gap_seconds, r.maximum_gap_seconds) == ("Drive", P, 9, 0.5, 7197.5)
+    r = report.session_statistics.first()
+    assert (r.number_of_sessions, r.minimum_duration_seconds, r.median_duration_seconds, r.maximum_samples, r.maximum_internal_gap_seconds) == (2, 1.0, 1.75, 6, 0.5)
+    one = reports.one_row(reports.gap_report(report.sampling), ["experiment"]).first()
+    assert (one.number_of_samples, one.minimum_gap_seconds) == ("9", "0.5")
+    reports.write_report(report, str(tmp_path))
+    assert (tmp_path / "statistics/experiments.csv").read_text().splitlines() == ["experiment", "Drive", "Sensor A", "Temperature"]
+    assert (tmp_path / "statistics/drive_time_gap_statistics.csv").read_text().splitlines()[:3] == ["metric,value", f"signal_id_uuid,{P}", "number_of_samples,9"]
+    assert len((tmp_path / "reports/drive_position_sessions.csv").read_text().splitlines()) == 3
+    assert "no single reference signal (0 found)" in reports.text_report(report)
+
+
+def test_coverage_of_a_run(spark, dataset, tmp_path):
+    run_pipeline(spark, config(dataset, tmp_path, stop_after="multi_sensor_extraction"))
+    (tmp_path / "ExperimentAlpha/z").mkdir()  # newer by name, without a window summary
+    run = latest_run(spark, str(tmp_path), "ExperimentAlpha")
+    assert run.endswith("/r") and latest_run(spark, "o", "e", "given") == "o/e/given" and frozen_thresholds(spark, run) == []
+    with pytest.raises(FileNotFoundError):
+        latest_run(spark, str(tmp_path), "Nobody")
+    got = reports.diagnose(spark, dataset, "ExperimentAlpha", run, str(tmp_path / "out"), ["position", "sensor_a"], ["sensor_a", "sensor_b"], 1)
+    cover = {r.signal_name: (r.raw_sample_count, r.detected_session_ids, r.first_raw_timestamp) for r in got["signal_time_coverage"].collect()}
+    assert cover == {"position": (9, "1,2", T0), "sensor_a": (3, "1,2", T0 + timedelta(seconds=1))}
+    r = got["cycle_vibration_overlap"].collect()
+    assert [(x.cycle_id, x.sensor_a_overlap, x.sensor_b_overlap, x.any_vibration_axis_overlap) for x in r] == [(1, True, False, True)]
+    r = got["vibration_signal_candidates"].collect()
+    assert [(x.signal_id, x.belongs_to_current_experiment, x.currently_selected_for_extraction, x.raw_sample_count) for x in r] == [(101, True, True, 3)]
+    assert sorted(p.name for p in (tmp_path / "out").glob("*.csv")) == ["cycle_vibration_overlap.csv", "signal_time_coverage.csv", "vibration_signal_candidates.csv"]
