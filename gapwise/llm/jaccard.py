@@ -18,6 +18,8 @@ pass verifies inside the block with a union-find: pairs already linked are skipp
 two components leave it, fewer than the block has members.  A block beyond ``TILE`` classes or ``VOLUME`` shingles is
 dealt out by hash; its parts are joined within themselves first, and after that only classes of different components
 meet across parts, the largest component of a block never with itself.  Components come from star contraction.
+With ``pairs`` the join lists every link between two classes as well: the same blocks and trees without the shortcut
+through components, each block's parts all against all.  That costs what the links are many.
 
 Edge cases: null texts and texts without words have an empty set, link with nothing and are their own
 component; fewer words than a shingle make one shingle; rows that repeat, or repeat a doc_id, are nodes of their own
@@ -321,8 +323,11 @@ def _survivors(percent: int):
     return run
 
 
-def _spanning(width: int, percent: int):
-    """Members (a, i, j, side, cid, comp, text) sorted by block -> the links (a, b) that join two components of the block."""
+def _spanning(width: int, percent: int, every: bool = False):
+    """Members (a, i, j, side, cid, comp, text) sorted by block -> the links (a, b) that join two components of the block.
+
+    With ``every`` all links of the block, whatever their components; a is the lesser number.
+    """
 
     def run(batches):
         parts: list[list[np.ndarray]] = [[], []]
@@ -340,21 +345,25 @@ def _spanning(width: int, percent: int):
             both = [summary(h) for h in sets]
             pairs = _block_pairs(
                 size, t.column("side").to_numpy(), [p for p, _ in both], [f for _, f in both], percent,
-                lambda p, q: (root[p] == root[p[0]]).all() and (root[q] == root[p[0]]).all(),  # noqa: B023
-                lambda p, q: root[p] != root[q],  # noqa: B023
+                lambda p, q: not every and (root[p] == root[p[0]]).all() and (root[q] == root[p[0]]).all(),  # noqa: B023
+                lambda p, q: p != q if every else root[p] != root[q],  # noqa: B023
             )
             for p, q in pairs:
                 for x in np.unique(p):
                     seen[local[ends[x] : ends[x + 1]]] = True
                     for y in q[p == x]:
-                        if root[x] == root[y]:
+                        if root[x] == root[y] and not every:
                             continue
                         common = int(np.count_nonzero(seen[local[ends[y] : ends[y + 1]]]))
                         if (100 + percent) * common >= percent * int(size[x] + size[y]):
                             root[root == root[y]] = root[x]
-                            parts[0].append(cid[x : x + 1])
-                            parts[1].append(cid[y : y + 1])
+                            x_, y_ = (y, x) if every and cid[y] < cid[x] else (x, y)
+                            parts[0].append(cid[x_ : x_ + 1])
+                            parts[1].append(cid[y_ : y_ + 1])
                     seen[local[ends[x] : ends[x + 1]]] = False
+                if len(parts[0]) >= 1 << 16:
+                    yield _some(["a", "b"], parts)
+                    parts = [[], []]
         yield _some(["a", "b"], parts)
 
     return run
@@ -373,10 +382,11 @@ class Join:
     """The classes of a corpus, links that span their components, and every row's component.
 
     ``rows`` (doc_id, text_key, n, d1, d2): every row with the 128-bit digest of its set; ``classes`` (d1, d2, cid, rep, text_key,
-    n): each distinct set once, under a number of its own; ``links`` (a, b) and ``labels`` (node, comp) by that number.
+    n): each distinct set once, under a number of its own; ``links`` (a, b) and ``labels`` (node, comp) by that number;
+    ``pairs`` (a, b), only if asked for: every link between two classes, a the lesser number.
     """
 
-    def __init__(self, docs: DataFrame, width: int, percent: int):
+    def __init__(self, docs: DataFrame, width: int, percent: int, pairs: bool = False):
         self.width, self.percent = width, percent
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
         self.parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -403,6 +413,7 @@ class Join:
             self.links = self.links.unionByName(self._linked(self._across(blocks, large), points))
             before, self.labels = self.labels, stored(components(self.links), "jaccard-labels")
             discard(before)
+        self.pairs = self._linked(self._all_parts(blocks, large), points, True) if pairs else None
         discard(blocks, points, large)
 
     def _frequent(self) -> np.ndarray:
@@ -447,11 +458,20 @@ class Join:
         side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
         return held.select("a", "cid", "n", "comp", side.alias("side"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
+    def _all_parts(self, blocks: DataFrame, large: DataFrame) -> DataFrame:
+        """Members of all blocks, every part of a block to meet itself and every other one."""
+        tiles = F.coalesce("tiles", F.lit(1))
+        held = blocks.join(bounded(large, large.count()), "a", "left").withColumn("own", F.pmod(F.xxhash64("cid"), tiles).cast("int"))
+        held = held.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+        side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+        parts = [F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")]
+        return held.select("a", "cid", "n", F.col("cid").alias("comp"), side.alias("side"), *parts)
+
     def _met(self, members: DataFrame) -> DataFrame:
         return members.repartition(self.parts, "a", "i", "j").sortWithinPartitions("a", "i", "j")
 
-    def _linked(self, held: DataFrame, points: DataFrame) -> DataFrame:
-        """Members of blocks -> links between their components: first by points alone, then on the sets of what is left."""
+    def _linked(self, held: DataFrame, points: DataFrame, every: bool = False) -> DataFrame:
+        """Members of blocks -> links between their components (or all): first by points alone, then on the sets of what is left."""
         fields = ", ".join(f"{c} long" for c in _MEMBER)
         left = self._met(held.select(*_MEMBER, "n").join(points, "cid")).mapInArrow(_survivors(self.percent), fields)
         left = stored(left, "jaccard-left")
@@ -459,7 +479,7 @@ class Join:
         need = stored(need, "jaccard-needed")
         same = (F.col("text_key") == F.col("rep_key")) & F.col("doc_id").eqNullSafe(F.col("rep"))
         texts = self.docs.join(bounded(need, need.count()), same).groupBy("cid").agg(F.first("text").alias("text"))
-        links = self._met(left.join(texts, "cid")).mapInArrow(_spanning(self.width, self.percent), "a long, b long")
+        links = self._met(left.join(texts, "cid")).mapInArrow(_spanning(self.width, self.percent, every), "a long, b long")
         links = stored(links.distinct(), "jaccard-links")
         discard(left, need)
         return links
@@ -477,6 +497,17 @@ class Join:
         kept = F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("text_key") == F.col("first_key"))
         return rows.where(~kept).select("doc_id", "text_key").distinct()
 
+    def link_counts(self) -> DataFrame:
+        """doc_id, n_shingles, n_links for every row: how many other rows it links with, equal sets among them; needs ``pairs``."""
+        size = self.rows.where("d1 IS NOT NULL").groupBy("d1", "d2").agg(F.count("*").alias("c"))
+        size = stored(self.classes.join(size, ["d1", "d2"]).select("d1", "d2", "cid", "c"), "jaccard-sizes")
+        both = self.pairs.unionByName(self.pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        other = bounded(size.select(F.col("cid").alias("b"), "c"), size.count())
+        met = both.join(other, "b").groupBy(F.col("a").alias("cid")).agg(F.sum("c").alias("met"))
+        links = size.join(met, "cid", "left").select("d1", "d2", (F.col("c") - 1 + F.coalesce("met", F.lit(0))).alias("n_links"))
+        rows = self.rows.join(links, ["d1", "d2"], "left")
+        return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id for every row."""
         label = self._labelled()

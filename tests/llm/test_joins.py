@@ -69,6 +69,36 @@ def test_join_across_the_parts_of_a_block(spark, monkeypatch, limit):
     assert join.links.count() < 3 * len(texts)
 
 
+def link_counts(rows, width, percent):
+    sets = [shingles(r.text, width) for r in rows]
+    hit = [sum(i != j and bool(a) and bool(b) and 100 * len(a & b) >= percent * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    return Counter((r.doc_id, len(s), n) for r, s, n in zip(rows, sets, hit, strict=True))
+
+
+@pytest.mark.parametrize("tile", [4096, 8])
+def test_every_link_is_listed(spark, monkeypatch, tile):
+    """Every link of a dense group, whole or in parts, and counts that include equal sets."""
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    rng = np.random.default_rng(6)
+    texts = []
+    for i in range(60):
+        w = [f"w{k}" for k in range(160)]
+        for k in rng.integers(0, 160, rng.integers(0, 4)):
+            w[k] = f"n{rng.integers(50)}"
+        texts.append(" ".join(w))
+    texts += texts[:7] + [f"own{i} words of its {i} alone" for i in range(20)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    join = jaccard.Join(docs, 4, 85, pairs=True)
+    want = link_counts(docs.collect(), 4, 85)
+    assert Counter(tuple(r) for r in join.link_counts().collect()) == want
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in join.result().collect()) == brute(docs.collect(), 4, 85)
+    pairs = join.pairs.collect()
+    assert len(pairs) == len(set(pairs)) and all(r.a < r.b for r in pairs) and len(pairs) > join.links.count()
+    edge = jaccard.Join(documents(spark), 4, 85, pairs=True)
+    assert Counter(tuple(r) for r in edge.link_counts().collect()) == link_counts(documents(spark).collect(), 4, 85)
+    assert jaccard.Join(docs.limit(0), 4, 85, pairs=True).link_counts().count() == 0
+
+
 def test_survivors_stay_linear_and_whole(spark):
     """However many pairs a block has, each member leaves the first pass at most once, and none with a partner is lost."""
     rng = np.random.default_rng(4)
