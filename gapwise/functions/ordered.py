@@ -67,7 +67,7 @@ def scan(
 
     running = w.rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.select(*own, b, lag, *prev, *[F.coalesce(F.sum(inner[n]).over(running), F.lit(0)).alias(inner[n]) for n in sums])
-    joined = _join(rows, ends, by)
+    joined = join_buckets(rows, ends, by)
     follows = F.col(f"{lag}.seen").isNotNull()
     return joined.select(
         *own,
@@ -76,7 +76,7 @@ def scan(
     )
 
 
-def _join(df: DataFrame, small: DataFrame, by: list[str]) -> DataFrame:
+def join_buckets(df: DataFrame, small: DataFrame, by: list[str]) -> DataFrame:
     """Left join on the bucket; null keys are a sequence of their own."""
     names = {c: free_name([*df.columns, *small.columns], f"__key{i}") for i, c in enumerate(by)}
     small = small.withColumnsRenamed(names)

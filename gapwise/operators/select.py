@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import finite, micros
+from ..functions.ordered import join_buckets
 from .temporal import interval_join
 
 #: Fixed value: the reason of a required signal whose samples are all null or not finite.
@@ -128,13 +129,19 @@ def select_cycles(eligible: DataFrame, target: int, burst_cap: int, seed: int =
 
     In its bucket a cycle has a seeded place; places are served in turn over all buckets.  A burst's cycles are capped in
     serving order, so the pick needs two windows and no loop.  Adds selection_rank (null where the cap or target leaves it out).
+
+    Cycles without a burst are not one group of that window, and the served cycles, at most ``target``, are a distributed top-k
+    that is joined back by its places.
     """
     h = F.xxhash64(F.lit(seed), "cycle_id")
-    place = F.row_number().over(Window.partitionBy("session_id", "stratum").orderBy(h, "cycle_id"))
+    place = F.row_number().over(Window.partitionBy("session_id", "stratum").orderBy(h, "cycle_id", "burst_id"))
     out = eligible.withColumn("__turn", place)
     serve = [F.col("__turn"), F.col("session_id"), F.col("stratum"), F.col("cycle_id")]
-    in_burst = F.row_number().over(Window.partitionBy("burst_id").orderBy(*serve))
+    none = F.when(F.col("burst_id") < 0, F.col("cycle_id"))
+    in_burst = F.row_number().over(Window.partitionBy("burst_id", none).orderBy(*serve))
     out = out.withColumn("__kept", (F.col("burst_id") < 0) | (in_burst <= burst_cap))
-    rank = F.row_number().over(Window.partitionBy("__kept").orderBy(*serve))
-    out = out.withColumn("selection_rank", F.when(F.col("__kept") & (rank <= target), rank).cast("bigint"))
+    keys = ["session_id", "stratum", "__turn"]
+    served = out.where("__kept").orderBy(*serve).limit(target)
+    rank = F.row_number().over(Window.orderBy(*serve)).cast("bigint")
+    out = join_buckets(out, served.select(*keys, rank.alias("selection_rank")), keys)
     return out.withColumn("rejection_reasons", F.when(~F.col("__kept"), "burst_selection_limit").otherwise("")).drop("__turn", "__kept")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import micros, number, seconds
-from ..functions.ordered import scan
+from ..functions.ordered import BUCKET, join_buckets, scan
 
 #: Seconds above which gaps are counted.
 GAP_THRESHOLDS = (1, 5, 10, 30, 60, 300, 900, 1800, 3600, 21600, 86400)
@@ -202,11 +202,21 @@ def interval_summary(gapped: DataFrame, keys: list[str] | None = None) -> DataFr
 
 
 def merge_intervals(df: DataFrame, keys: list[str], gap_seconds: float, start: str = "start_time", end: str = "end_time") -> DataFrame:
-    """Islands of intervals that overlap or lie at most the gap apart."""
-    w = Window.partitionBy(*keys).orderBy(start, end)
-    reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    out = df.withColumn("__new", F.coalesce((micros(reach, start) > int(gap_seconds * 1_000_000)).cast("int"), F.lit(1)))
-    out = out.withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    """Islands of intervals that overlap or lie at most the gap apart.
+
+    The farthest end so far is a running maximum in two levels, inside the time buckets of the starts and over one row a bucket, so a
+    table without keys is never one task.  Intervals without a start are islands of their own.
+    """
+    df = df.withColumn("__bucket", F.date_trunc(BUCKET, F.col(start)))
+    by = [*keys, "__bucket"]
+    past = Window.unboundedPreceding, -1
+    inside = F.max(end).over(Window.partitionBy(*by).orderBy(start, end).rowsBetween(*past))
+    across = Window.partitionBy(*keys).orderBy("__bucket") if keys else Window.orderBy("__bucket")  # one row a bucket
+    tops = df.groupBy(*by).agg(F.max(end).alias("__top")).select(*by, F.max("__top").over(across.rowsBetween(*past)).alias("__before"))
+    out = join_buckets(df.withColumn("__inside", inside), tops, by)
+    apart = micros(F.greatest("__inside", "__before"), start) > int(gap_seconds * 1_000_000)
+    out = out.withColumn("__new", F.coalesce(apart.cast("int"), F.lit(1))).withColumn("__later", 1 - F.col("__new"))
+    out = scan(out.drop(*["__bucket", "__inside", "__before"]), keys, [start, end, "__later"], sums={"__island": F.col("__new")})
     return out.groupBy(*keys, "__island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("intervals")).drop("__island")
 
 

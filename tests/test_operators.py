@@ -86,6 +86,51 @@ def test_merge_and_overlap(spark):
     assert [r.start_time for r in temporal.overlap_exists(df, right).collect()] == [at(11)]
 
 
+def test_merge_over_many_days_equals_a_loop(spark):
+    """Intervals that outlast their day, repeated rows, null keys and null starts."""
+    import random
+
+    rng = random.Random(2)
+    rows = [(rng.choice([1, 2, None]), at(a), at(a + rng.choice([5, 400, 200_000]))) for a in (rng.randrange(0, 3_000_000) for _ in range(150))]
+    rows += rows[:20] + [(1, None, at(5)), (1, None, at(5))]
+    fields = "k int, start_time timestamp_ntz, end_time timestamp_ntz"
+    for keys in ([], ["k"]):
+        want = []
+        for k in {r[0] if keys else 0 for r in rows}:
+            mine = [r for r in rows if not keys or r[0] == k]
+            here = [[None, r[2], 1] for r in mine if r[1] is None]
+            reach = max([r[1] for r in here], default=None)
+            begun = False
+            for _, a, z in sorted((r for r in mine if r[1] is not None), key=lambda r: (r[1], r[2])):
+                if reach is None or a - reach > timedelta(seconds=3600) or not (begun or here):
+                    here.append([a, z, 1])
+                else:
+                    here[-1] = [a if here[-1][0] is None else here[-1][0], max(here[-1][1], z), here[-1][2] + 1]
+                reach, begun = z if reach is None else max(reach, z), True
+            want += [((k,) if keys else ()) + tuple(x) for x in here]
+        got = temporal.merge_intervals(spark.createDataFrame(rows, fields), keys, 3600)
+        assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, want))
+    assert temporal.merge_intervals(spark.createDataFrame([], fields), [], 1).count() == 0
+
+
+def test_selection_equals_one_ordered_pass(spark):
+    rows = [(i, i % 2, at(i), i % 3, i % 7 - 3) for i in range(90)]
+    df = spark.createDataFrame(rows, "cycle_id bigint, session_id bigint, start_time timestamp_ntz, stratum bigint, burst_id bigint")
+    hashed = {r.cycle_id: r.h for r in df.select("cycle_id", F.xxhash64(F.lit(42), "cycle_id").alias("h")).collect()}
+    turns, queue = {}, []
+    for i, session, _, stratum, burst in sorted(rows, key=lambda r: hashed[r[0]]):
+        turn = turns[session, stratum] = turns.get((session, stratum), 0) + 1
+        queue.append((turn, session, stratum, i, burst))
+    used, order = {}, []
+    for *_, i, burst in sorted(queue):
+        used[burst] = used.get(burst, 0) + 1
+        if burst < 0 or used[burst] <= 4:
+            order.append(i)
+    got = select.select_cycles(df, 20, 4)
+    assert {r.cycle_id: r.selection_rank for r in got.where("selection_rank IS NOT NULL").collect()} == {i: n + 1 for n, i in enumerate(order[:20])}
+    assert got.count() == 90 and got.where("rejection_reasons <> ''").count() == 90 - len(order)
+
+
 def test_node_paths_and_cycles_in_them(spark):
     nodes = spark.createDataFrame([("a", "Root", None), ("b", "Drive", "a"), ("c", None, "b"), ("d", "Orphan", "x"), ("e", "Blank", "")], "node_id string, name string, parent_node string")
     got = {r.node_id: r.path for r in catalog.node_paths(nodes).collect()}
