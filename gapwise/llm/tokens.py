@@ -18,6 +18,8 @@ import pyarrow as pa
 
 from .textnp import Slice, slices
 
+#: Bits of the table of recent units.
+SLOTS = 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: A run of letters ends before any of these marks, whatever follows; the apostrophe is left out for contractions.
@@ -38,9 +40,14 @@ class UnitTokenizer:
         self.cache_units = cache_units
         self.dtype = np.uint16 if self.tok.get_vocab_size() < 1 << 16 else np.uint32
         (self.line_feed,) = self.tok.encode("\n", add_special_tokens=False).ids
+        self.resets = 0
         self._reset()
 
     def _reset(self) -> None:
+        self.resets += 1
+        self.slot_key = np.zeros(1 << SLOTS, np.uint64)
+        self.slot_at = np.zeros(1 << SLOTS, np.int64)
+        self.slot_size = np.zeros(1 << SLOTS, np.int32)
         self.keys = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
@@ -81,8 +88,23 @@ class UnitTokenizer:
         return starts, np.append(starts[1:], n)
 
     def _lookup(self, s: Slice, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place and length in the pool of each unit's ids."""
-        keys, first, inverse = np.unique(s.hash_spans(starts, ends), return_index=True, return_inverse=True)
+        """Place and length in the pool of each unit's ids: from the table of recent units, else found by sorting."""
+        h = s.hash_spans(starts, ends)
+        slot = (h >> np.uint64(64 - SLOTS)).astype(np.int64)
+        place, size = self.slot_at[slot], self.slot_size[slot].astype(np.int64)
+        miss = np.flatnonzero((self.slot_key[slot] != h) | (size == 0))
+        if len(miss):
+            before = self.resets
+            found = self._find(s, h[miss], starts[miss], ends[miss])
+            if self.resets != before:  # the pool was begun anew, so what the table said is void
+                miss = np.arange(len(h))
+                found = self._find(s, h, starts, ends)
+            place[miss], size[miss] = found
+            self.slot_key[slot[miss]], self.slot_at[slot[miss]], self.slot_size[slot[miss]] = h[miss], place[miss], size[miss]
+        return place, size
+
+    def _find(self, s: Slice, h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys, first, inverse = np.unique(h, return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, keys)
         known = at < len(self.keys)
         known[known] = self.keys[at[known]] == keys[known]
