@@ -195,3 +195,35 @@ def test_bags_survive_packing():
     for bucket, share in toxicity._bags(pa.array(["worthless worthless scum", "a", "", "x" * 500])):
         a, b = toxicity.unpack(toxicity.pack(bucket, share))
         assert a.tolist() == bucket.tolist() and b.tolist() == share.tolist()
+
+
+def test_quality_counts_the_words_of_every_document(spark):
+    """Context vectors against a loop over all texts, most of them without a label."""
+    docs = documents(spark)
+    model = quality.fit(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"))
+    index, want = quality.index_vectors(), np.zeros((1 << quality.BITS, quality.DIM))
+    for r in docs.collect():
+        token = quality.tokens(next(iter(slices(pa.array([r.text or ""])))))[0].tolist()
+        for i in range(len(token)):
+            for j in range(max(0, i - quality.REACH), min(len(token), i + quality.REACH + 1)):
+                if i != j:
+                    want[token[i]] += np.roll(index[token[j]], j - i)
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-6)
+    assert model.vectors[:, quality.DIM :] == pytest.approx(want, abs=1e-5)
+
+
+def test_quality_learns_from_every_label(spark):
+    """More rows than a shard holds: each once, whole shards, and the same model however the rows are dealt out."""
+    texts, y = toy(lambda w, rng: [x.upper() + "!!" for x in w], None, 400)
+    docs = spark.createDataFrame([(i, t.as_py()) for i, t in enumerate(texts)] + [(3, texts[3].as_py())], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k) for i, k in enumerate(y)] + [(0, y[0]), (500, 1)], "doc_id long, quality int")
+    free = [i for i in range(400) if not held(i, 3, 1)]
+    model = quality.Model(quality.index_vectors().astype(np.float32))
+    rows = quality.pooled_rows(docs, labels, model)
+    assert rows.count() == len(free)
+    each = quality.over(quality.sharded(rows, 50), quality.DIM + 3)
+    parts = each(lambda x, y, held: (len(y), y.sum(), x.sum(0)))
+    assert len(parts) == -(-len(free) // 50) and sum(p[0] for p in parts) == len(free) and sum(p[1] for p in parts) == sum(y[i] for i in free)
+    assert sum(p[2] for p in parts) == pytest.approx(model.pooled(texts)[free].sum(0), abs=1e-2)
+    one, two = (quality.fit(d, m, 50) for d, m in ((docs, labels), (docs.repartition(7), labels.repartition(5))))
+    assert (one.scores(texts) == two.scores(texts)).all() and ((one.scores(texts) >= 0.5) == np.array(y)).mean() > 0.95
