@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import labelled
-from .common import stored, table
+from .common import give_back, stored, table
 from .textnp import _SEP, Slice, slices
 
 ORDERS, BITS, DIM = (3, 4, 5, 6), 18, 8
@@ -154,7 +154,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, short: np.nd
     spread = np.zeros(1 << BITS, np.int64)
     for bucket, _ in (bag for bag, one in zip(bags, short.tolist(), strict=True) if not one):
         spread[bucket] += 1
-    bags = [(bucket[keep], share[keep]) for bucket, share in bags for keep in [spread[bucket] >= least]]
+    bags = [(bucket, share) if keep.all() else (bucket[keep], share[keep]) for bucket, share in bags for keep in [spread[bucket] >= least]]
     rng = np.random.default_rng(SEED)
     embed = rng.normal(0, 1e-3, (1 << BITS, DIM)).astype(np.float32)  # near zero, so n-grams the fit never saw say nothing
     soft, bias = rng.normal(0, 0.5, (2, DIM)).astype(np.float32), np.zeros(2, np.float32)
@@ -207,19 +207,36 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
 
     def lean(batches):
         for batch in batches:
-            packed = []
+            packed, sizes = [], []
             for bucket, share in zip(batch.column("bucket"), batch.column("share"), strict=True):
                 bucket, share = bucket.values.to_numpy(), share.values.to_numpy()
                 keep = shared.value[bucket]
                 packed.append(pack(bucket[keep], share[keep]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], names=["h", "y", "short", "bag"])
+                sizes.append(int(keep.sum()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())], names=["h", "y", "short", "size", "bag"])
 
     # At most two bags for each sampled row, without n-grams that are not learned, some bytes an n-gram.
-    got = rows.mapInArrow(lean, "h long, y int, short int, bag binary").toArrow()
+    got = rows.mapInArrow(lean, "h long, y int, short int, size long, bag binary").toArrow()
     y, short = got.column("y").to_numpy(), got.column("short").to_numpy()
     turn = np.lexsort((short, y, got.column("h").to_numpy()))
-    bags = [unpack(got.column("bag")[int(i)].as_py()) for i in turn]
-    return train(bags, y[turn], short[turn])
+    bags = unpacked(got.column("bag"), got.column("size").to_numpy(), turn)
+    del got
+    try:
+        return train(bags, y[turn], short[turn])
+    finally:
+        del bags
+        give_back()
+
+
+def unpacked(packed: pa.ChunkedArray, sizes: np.ndarray, turn: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The bags in the order of ``turn``, as parts of two arrays: many small ones take more and stay in the process."""
+    ends = np.cumsum(sizes[turn])
+    buckets, shares = np.empty(int(sizes.sum()), np.int32), np.empty(int(sizes.sum()), np.float32)
+    bags = []
+    for i, a, b in zip(turn.tolist(), (ends - sizes[turn]).tolist(), ends.tolist(), strict=True):
+        buckets[a:b], shares[a:b] = unpack(packed[i].as_py())
+        bags.append((buckets[a:b], shares[a:b]))
+    return bags
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -227,3 +227,30 @@ def test_quality_learns_from_every_label(spark):
     assert sum(p[2] for p in parts) == pytest.approx(model.pooled(texts)[free].sum(0), abs=1e-2)
     one, two = (quality.fit(d, m, 50) for d, m in ((docs, labels), (docs.repartition(7), labels.repartition(5))))
     assert (one.scores(texts) == two.scores(texts)).all() and ((one.scores(texts) >= 0.5) == np.array(y)).mean() > 0.95
+
+
+def test_toxicity_holds_its_bags_once(spark, monkeypatch):
+    """On the driver all bags lie in two arrays, and training does not copy those that are lean already."""
+    import tracemalloc
+
+    seen = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda bags, *rest: seen.append({id(part.base) for bag in bags for part in bag}) or train(bags, *rest))
+    texts, y = toy(lambda w, rng: [*w[:30], "worthlessscum", *w[30:]], None, 60)
+    docs = spark.createDataFrame([(i, t.as_py()) for i, t in enumerate(texts)], "doc_id long, text string")
+    toxicity.fit(docs, spark.createDataFrame(list(enumerate(y)), "doc_id long, toxic int"))
+    assert len(seen[0]) == 2
+    bucket, share = np.arange(50_000, dtype=np.int32), np.full(50_000, 1e-5, np.float32)
+    tracemalloc.start()
+    train([(bucket, share)] * 200, np.arange(200) % 2, np.zeros(200, int), epochs=0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # 80 MB for the bags alone, were they copied
+
+
+def test_unpacked_keeps_bags_and_order():
+    bags = list(toxicity._bags(pa.array(["worthless worthless scum", "", "some more words", "a"])))
+    packed = pa.chunked_array([pa.array([toxicity.pack(*b) for b in bags[:2]], pa.binary()), pa.array([toxicity.pack(*b) for b in bags[2:]], pa.binary())])
+    got = toxicity.unpacked(packed, np.array([len(b) for b, _ in bags]), np.array([2, 0, 1, 3]))
+    for (bucket, share), k in zip(got, (2, 0, 1, 3), strict=True):
+        assert bucket.tolist() == bags[k][0].tolist() and share.tolist() == bags[k][1].tolist()
