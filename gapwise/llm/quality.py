@@ -32,6 +32,8 @@ from .textnp import _SEP, Slice, mix64, slices
 
 DIM, NONZERO, BITS, REACH = 32, 4, 15, 2
 HIDDEN, ROUNDS, EPOCHS, RATE, SEED = 32, 10, 6, 3e-3, 5
+#: Context vectors are multiples of 1 / GRID, so their sums in a block are exact in 32 bits and pools are the same in any batch.
+GRID, BLOCK = 1 << 10, 1 << 13
 #: Rows of a shard, about: so many pooled documents are in a task's memory at once.
 SHARD = 1 << 14
 THRESHOLD = 0.5
@@ -97,13 +99,13 @@ def _neighbours(batches):
 
 
 def context_vectors(docs: DataFrame) -> np.ndarray:
-    """Context vectors by token bucket over all texts, scaled to length one."""
+    """Context vectors by token bucket over all texts, scaled to length one, on the grid."""
     parts = docs.select("text").mapInArrow(_neighbours, "token int, v array<long>")
     got = parts.groupBy("token").agg(*[F.sum(F.col("v")[k]).alias(f"v{k}") for k in range(DIM)]).toArrow()  # a row a bucket
     out = np.zeros((1 << BITS, DIM), np.float32)
     if got.num_rows:
         out[got.column(0).to_numpy()] = np.stack([got.column(k + 1).to_numpy() for k in range(DIM)], axis=1)
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
+    return np.round(out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6) * GRID) / np.float32(GRID)
 
 
 class Model:
@@ -117,15 +119,15 @@ class Model:
         out = np.zeros((len(column), width + 3), np.float32)
         for s in slices(column):
             token, doc, again = tokens(s)
-            count = np.bincount(doc, minlength=len(s)).astype(np.float32)
-            part = out[s.first : s.first + len(s)]
-            for a in range(0, len(doc), 8192):  # a block of vectors stays in cache
-                d = doc[a : a + 8192]
+            count = np.bincount(doc, minlength=len(s))
+            part = np.zeros((len(s), width + 3))
+            for a in range(0, len(doc), BLOCK):  # a block of vectors stays in cache
+                d = doc[a : a + BLOCK]
                 at = np.flatnonzero(np.diff(d, prepend=-1))
-                part[d[at], :width] += np.add.reduceat(self.vectors[token[a : a + 8192]], at, axis=0)
+                part[d[at], :width] += np.add.reduceat(self.vectors[token[a : a + BLOCK]], at, axis=0)
             for k in (1, 2, 3):
                 part[:, width + k - 1] = np.bincount(doc[again == k], minlength=len(s))
-            part /= np.maximum(count, 1)[:, None]
+            out[s.first : s.first + len(s)] = part / np.maximum(count, 1)[:, None]
         return out
 
     def logits(self, x: np.ndarray) -> np.ndarray:

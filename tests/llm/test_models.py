@@ -209,7 +209,7 @@ def test_quality_counts_the_words_of_every_document(spark):
                 if i != j:
                     want[token[i]] += np.roll(index[token[j]], j - i)
     want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-6)
-    assert model.vectors[:, quality.DIM :] == pytest.approx(want, abs=1e-5)
+    assert model.vectors[:, quality.DIM :] == pytest.approx(want, abs=1 / quality.GRID)
 
 
 def test_quality_learns_from_every_label(spark):
@@ -229,6 +229,16 @@ def test_quality_learns_from_every_label(spark):
     assert (one.scores(texts) == two.scores(texts)).all() and ((one.scores(texts) >= 0.5) == np.array(y)).mean() > 0.95
 
 
+def test_quality_pools_are_the_same_in_any_batch():
+    rng = np.random.default_rng(3)
+    context = np.round(rng.normal(0, 0.2, (1 << quality.BITS, quality.DIM)).clip(-1, 1) * quality.GRID) / quality.GRID
+    model = quality.Model(np.concatenate([quality.index_vectors(), context], axis=1).astype(np.float32))
+    vocab = [f"w{k}x" for k in range(500)]
+    texts = pa.array([" ".join(vocab[k] for k in rng.integers(0, 500, n)) for n in (3, 9000, 1, 40_000, 700, 25, 12_000, 2)])
+    alone = np.concatenate([model.pooled(texts[i : i + 1]) for i in range(len(texts))])
+    assert (model.pooled(texts) == alone).all() and (model.pooled(texts[::-1])[::-1] == alone).all()
+
+
 def test_toxicity_holds_its_bags_once(spark, monkeypatch):
     """On the driver all bags lie in two arrays, and training does not copy those that are lean already."""
     import tracemalloc
